@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.session import ship_code
+
 #: Word separators: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
