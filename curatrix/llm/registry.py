@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .quality import op9_quality_rules
+from .substring_dedup import op1_substring_dedup
+from .suffix_dedup import op8_suffix_dedup
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op8_suffix_dedup, op9_quality_rules)}
 ORACLES: dict[str, str] = {}
