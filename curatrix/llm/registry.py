@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from .packing import op3_best_fit_packing
 from .quality import op9_quality_rules
 from .simhash import op2_simhash
 from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op8_suffix_dedup, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op8_suffix_dedup, op9_quality_rules)}
 ORACLES: dict[str, str] = {}
