@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .imatch import op10_imatch
 from .packing import op3_best_fit_packing
 from .quality import op9_quality_rules
 from .simhash import op2_simhash
 from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_dedup
+from .url_filter import OP6_SQL, op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op8_suffix_dedup, op9_quality_rules)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op6_url_filter, op8_suffix_dedup, op9_quality_rules, op10_imatch)}
+ORACLES = {"op6_url_filter": OP6_SQL}
