@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 MESSAGE = "block long, shard long, kind int, body binary"
 SCHEMA = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("kind", pa.int32()), ("body", pa.binary())])
 #: Bytes of text that the numpy steps take at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 BLOCKS_A_PARTITION = 2
 
 SPACE = np.zeros(256, bool)

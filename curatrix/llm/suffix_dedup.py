@@ -257,13 +257,13 @@ def removal(length: int, shards: int, schema: pa.Schema):
         edge = np.zeros(len(b.data) + 1, np.int32)
         np.add.at(edge, np.concatenate(start), 1)
         np.add.at(edge, np.concatenate(end), -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
         before = np.zeros(len(gone), bool)
         before[1:] = gone[:-1]
         heads = np.zeros(len(gone) + 1, bool)
         heads[b.at] = True
-        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[b.at])
-        kept_at = np.concatenate([[0], np.cumsum(~gone)])[b.at].astype(np.int64)
+        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, out=edge[1:])])[b.at])  # noqa: E731  edge serves as room
+        kept_at = np.concatenate([[0], np.cumsum(~gone, out=edge[1:])])[b.at].astype(np.int64)
         kept = pa.Array.from_buffers(pa.large_binary(), len(b.ids), [None, pa.py_buffer(kept_at), pa.py_buffer(b.data[~gone])]).cast(pa.binary())
         made = {"n_bytes": np.diff(b.at), "n_removed": count(gone), "n_spans": count(gone & (~before | heads[:-1])), "kept_bytes": kept}
         if "kept_text" in schema.names:
