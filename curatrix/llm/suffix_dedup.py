@@ -78,7 +78,7 @@ class Block:
         place += ((firsts - place + (1 << PLACE_BITS) - 1) >> PLACE_BITS) << PLACE_BITS  # the first such place at or after the window's start
         new = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(firsts) != 1)]))
         start, end = firsts[new], firsts[np.concatenate([new[1:] - 1, [len(firsts) - 1]])] + n
-        return start + a, end + a, hashes[place[new]], spans(start, end)
+        return start + a, end + a, mixed(hashes[place[new]], 9), spans(start, end)  # mixed anew: minimizers are small numbers, and shards are ranges
 
     def sent(self, shards: int):
         """(shard, places in first)"""
