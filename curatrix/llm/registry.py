@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
 from .imatch import op10_imatch
+from .language_id import op4_language_id
 from .packing import op3_best_fit_packing
 from .quality import op9_quality_rules
 from .simhash import op2_simhash
 from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_dedup
+from .toxicity import op5_toxicity
 from .url_filter import OP6_SQL, op6_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op6_url_filter, op7_byte_bpe, op8_suffix_dedup, op9_quality_rules, op10_imatch)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op4_language_id, op5_toxicity, op6_url_filter, op7_byte_bpe, op8_suffix_dedup, op9_quality_rules, op10_imatch)}
 ORACLES = {"op6_url_filter": OP6_SQL}
