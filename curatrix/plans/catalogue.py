@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import basic, change, match  # noqa: F401  each registers its queries
+from .base import ORACLES, QUERIES  # noqa: F401
