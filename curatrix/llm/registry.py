@@ -5,6 +5,7 @@ from __future__ import annotations
 from .byte_bpe import op7_byte_bpe
 from .imatch import op10_imatch
 from .language_id import op4_language_id
+from .oracles import OP1_SQL, OP9_SQL
 from .packing import op3_best_fit_packing
 from .quality import op9_quality_rules
 from .simhash import op2_simhash
@@ -14,4 +15,4 @@ from .toxicity import op5_toxicity
 from .url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash, op3_best_fit_packing, op4_language_id, op5_toxicity, op6_url_filter, op7_byte_bpe, op8_suffix_dedup, op9_quality_rules, op10_imatch)}
-ORACLES = {"op6_url_filter": OP6_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op6_url_filter": OP6_SQL, "op9_quality_rules": OP9_SQL}
