@@ -205,10 +205,10 @@ def factors(text: np.ndarray, window: np.ndarray, group: np.ndarray, length: int
     """
     if not len(window):
         return np.zeros(0, bool)
-    padded = np.concatenate([text, np.zeros(2 * length, np.uint8)])
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
     n = len(text)
-    rank, width = np.zeros(n, np.uint64), 8
-    for k in range(8):
+    rank, width = np.zeros(n, np.uint64), min(8, length)
+    for k in range(width):
         rank = (rank << np.uint64(8)) | padded[k : n + k]
     rank = np.unique(rank, return_inverse=True)[1]
     while 2 * width <= length:
