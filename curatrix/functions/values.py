@@ -36,7 +36,7 @@ def duration_from_ms(ms: Column, *, floor: bool = False) -> Column:
     """Milliseconds as m:ss; half-even rounding unless floor; blank if no number."""
     n = ms.try_cast("double")
     s = (F.floor(n / 1000) if floor else F.bround(n / 1000)).cast("long")
-    return F.coalesce(F.format_string("%d:%02d", F.floor(s / 60), s % 60), F.lit(""))
+    return F.when(s.isNull(), "").otherwise(F.format_string("%d:%02d", F.floor(s / 60), s % 60))
 
 
 def compact_duration(c: Column) -> Column:
