@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.session import ship_code
+from ..sources.session import new_path, ship_code
 
 #: Word separators: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -20,19 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="curatrix-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def stored(df: DataFrame) -> DataFrame:
     """df written as Parquet into the shared folder and read again: its lineage is cut, and a lost executor loses none of it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/curatrix-{uuid.uuid4().hex}"
+    path = new_path(spark, "curatrix")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
