@@ -1,6 +1,6 @@
 """Best-fit packing of token sequences by linear grouping.
 
-Large pieces (over SMALL_SHARE of the capacity) are put in order of length and cut into GROUPS groups of equal
+Large pieces (over a share of the capacity, SMALL_SHARES) are put in order of length and cut into GROUPS groups of equal
 cardinality; within a group lengths are rounded up to the largest. With so few sizes, whole configurations (which
 sizes share a sequence) are optimised one after the other: the configuration that holds the largest size left and
 fills its sequence best, found by dynamic programming over sums, is used as often as the groups allow. Then the actual
@@ -29,7 +29,9 @@ from .common import stored, table
 from .encoders import vocabulary
 
 CAPACITY, END = 2048, 0
-GROUPS, SMALL_SHARE = 2048, 0.25
+GROUPS = 2048
+#: What counts as small, as shares of the capacity: the plan with fewest sequences is taken.
+SMALL_SHARES = (0.3, 0.5)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -53,11 +55,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_column:
 class Plan:
     """Where pieces go, by their length and their number among the pieces of that length."""
 
-    def __init__(self, counts: dict[int, int], capacity: int = CAPACITY):
+    def __init__(self, counts: dict[int, int], capacity: int = CAPACITY, small_share: float = SMALL_SHARES[0]):
         self.capacity, self.sequences = capacity, 0
         self.rows: list[tuple[int, int, int, int, int]] = []  # length, first number, how many, first sequence, offset
         self.room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # runs (first sequence, how many) by room left
-        small = int(capacity * SMALL_SHARE)
+        small = int(capacity * small_share)
         self.large({n: c for n, c in counts.items() if n > small and c})
         for n in sorted((n for n in counts if n <= small and counts[n]), reverse=True):
             self.best_fit(n, counts[n])
@@ -141,9 +143,13 @@ class Plan:
         return self.sequence[k] + number - self.first[k], self.offset[k]
 
 
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    return min((Plan(counts, capacity, share) for share in SMALL_SHARES), key=lambda p: p.sequences)
+
+
 def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (with doc_id, piece and length of at most capacity) with sequence_id and offset. pieces is read three times: store it first if it is costly."""
-    plan = Plan({r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}, capacity)  # a row for each length
+    plan = best_plan({r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}, capacity)  # a row for each length
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(partitions(pieces))))
     part = Window.partitionBy("length", "_salt")
     before = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))

@@ -165,7 +165,7 @@ def test_plan_places_every_piece(seed):
     rng = np.random.default_rng(seed)
     lengths = np.clip((rng.lognormal(6, 1, 3000)).astype(int), 1, 2048) if seed % 2 else rng.integers(1, 2049, 900)
     counts = {int(n): int((lengths == n).sum()) for n in np.unique(lengths)}
-    plan = packing.Plan(counts)
+    plan = packing.best_plan(counts)
     length = np.concatenate([np.full(c, n) for n, c in counts.items()])
     number = np.concatenate([np.arange(c) for c in counts.values()])
     sequence, offset = plan.place(length, number)
