@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MESSAGE = "block long, shard long, kind int, body binary"
@@ -31,9 +31,23 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame, number: Column, each: int) -> Column:
+    """number (from 0 to each times the partitions) as keys of which every shuffle partition gets the same number.
+
+    Left to their hashes, a few keys would share a partition and others stay empty; so keys are chosen by hash().
+    """
+    n = partitions(df)
+    hashed = df.sparkSession.range(64 * each * n).withColumn("p", F.pmod(F.hash("id"), F.lit(n)))
+    ranked = hashed.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("id"))).where(F.col("k") <= each)
+    keys = {(r["p"], r["k"]): r["id"] for r in ranked.collect()}  # each times n rows
+    listed = [keys.get((p, k), -1 - p - n * k) for k in range(1, each + 1) for p in range(n)]
+    return F.element_at(F.array(*[F.lit(x).cast("long") for x in listed]), (number + 1).cast("int"))
+
+
 def in_blocks(docs: DataFrame, id_column: str) -> DataFrame:
     """docs with its block. Null ids share one block."""
-    return docs.withColumn("_block", F.pmod(F.xxhash64(F.col(id_column)), F.lit(BLOCKS_A_PARTITION * partitions(docs))))
+    number = F.pmod(F.xxhash64(F.col(id_column)), F.lit(BLOCKS_A_PARTITION * partitions(docs)))
+    return docs.withColumn("_block", spread(docs, number, BLOCKS_A_PARTITION))
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -73,7 +87,7 @@ def from_blocks(docs: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFr
 
 def at_shards(messages: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """The answers of each shard."""
-    return messages.groupBy("shard").applyInArrow(work, MESSAGE)
+    return messages.withColumn("_key", spread(messages, F.col("shard"), 1)).groupBy("_key").applyInArrow(work, MESSAGE)
 
 
 def back_in_blocks(docs: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:

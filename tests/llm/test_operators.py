@@ -16,7 +16,7 @@ from nasty import SCHEMA, WORD, documents
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from curatrix.llm import byte_bpe, imatch, language_id, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
+from curatrix.llm import blocks, byte_bpe, imatch, language_id, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity, url_filter
 from curatrix.llm.blocks import chunks
 from curatrix.llm.encoders import rank_file
 from curatrix.sources.session import ship_code
@@ -308,3 +308,14 @@ def test_chunks_cover_all_texts():
     at = np.array([0, 0, 5, 5, 50, 51, 60])
     parts = list(chunks(at, 10))
     assert parts[0][0] == 0 and parts[-1][1] == 6 and all(a[1] == b[0] for a, b in zip(parts[:-1], parts[1:], strict=True))
+
+
+def test_every_partition_gets_as_many_blocks(spark):
+    blocked = blocks.in_blocks(spark.range(4000).withColumn("doc_id", F.col("id")), "doc_id").select("_block").distinct()
+    each = blocked.groupBy(F.pmod(F.hash("_block"), F.lit(blocks.partitions(blocked)))).count().collect()
+    assert [r["count"] for r in each] == [blocks.BLOCKS_A_PARTITION] * blocks.partitions(blocked)
+
+
+def test_messages_survive_packing():
+    arrays = [np.array([], "<i8"), np.array([3, 1 << 40], "<i8"), np.array([True, False]), np.arange(5, dtype=np.uint32), np.array([1 << 63], np.uint64)]
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, blocks.unpack(blocks.pack(*arrays)), strict=True))
