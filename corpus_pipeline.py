@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import language_id, packing, quality, simhash, suffix_dedup
+from curatrix.llm import language_id, near_copies, packing, quality, suffix_dedup
 from curatrix.llm.common import stored, table
 from curatrix.sources.session import ship_code
 
@@ -24,9 +24,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest document of each SimHash component."""
+    """Keeps one document of each group of near copies: five-word shingles at similarity 0.8 and more."""
     ship_code(spark)
-    return simhash.simhash_filter(docs)
+    return near_copies.near_copy_filter(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language),
-    ("SimHash near-dedup", near_duplicates),
+    ("near-dedup", near_duplicates),
     ("suffix-array dedup", repeated_strings),
     ("best-fit packing", packed_sequences),
 ]

@@ -264,13 +264,6 @@ def simhash_components(docs: DataFrame, id_column: str = "doc_id", text: str = "
     return found.join(nodes, F.col("fingerprint") == F.col("_fingerprint")).select("id", "fingerprint", "component_id")
 
 
-def simhash_filter(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the smallest of their component; rows with null ids stay, as nothing names them."""
-    found = simhash_components(docs, id_column, text)
-    gone = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
-
-
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
