@@ -4,7 +4,9 @@ A byte goes if a string of `length` bytes that covers it also starts earlier: in
 the same one. All occurrences of such a string have to meet in one place without every suffix travelling there:
 
 1. Each window of `length` bytes is represented by its least hashed gram (a minimizer); successive windows with the
-   same minimizer form a segment. Equal windows have equal minimizers. A block sends its distinct segments as hashes.
+   same minimizer form a segment. Equal windows have equal minimizers. A block sends its distinct segments as two
+   hashes, of 64 and of 32 bits from other sums, and their lengths: n different segments of one minimizer and length
+   give about n^2 / 2^97 false copies.
 2. The shard of a minimizer finds equal segments: all but the earliest are copies, wholly removable. Only where a
    minimizer stands in segments of different bytes can parts of them be equal, and only those are asked for.
 3. Blocks send the bytes of these few. Their shard sorts the suffixes of each group of segments and computes, from
@@ -42,6 +44,22 @@ NO_ID = -(1 << 63)
 PLACE_BITS = 26
 
 
+class OtherSpans(Spans):
+    """Hashes independent of those of Spans."""
+
+    base = np.uint64(0xD1342543DE82EF95)
+    unbase = np.uint64(pow(int(base), -1, 1 << 64))
+    values = np.random.default_rng(29).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+    _up = _down = np.ones(1, np.uint64)
+
+
+def changes(*arrays: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it, in any of the arrays; the first place always."""
+    out = np.ones(len(arrays[0]), bool)
+    out[1:] = np.any([a[1:] != a[:-1] for a in arrays], axis=0)
+    return out
+
+
 class Block:
     """The segments of a block's documents."""
 
@@ -50,10 +68,11 @@ class Block:
         self.data, self.at = texts(self.rows.column("_text"))
         self.ids = self.rows.column("_id").to_numpy()
         found = [self.segments(lo, hi) for lo, hi in chunks(self.at)]
-        self.start, self.end, self.key, self.content = (np.concatenate([np.zeros(0, t), *[f[k] for f in found]]) for k, t in enumerate((np.int64, np.int64, np.uint64, np.uint64)))
+        self.start, self.end, self.key, self.content, self.second = (np.concatenate([np.zeros(0, t), *[f[k] for f in found]]) for k, t in enumerate((np.int64, np.int64, np.uint64, np.uint64, np.uint32)))
         self.doc = np.searchsorted(self.at, self.start, "right") - 1
-        order = np.lexsort((self.start, self.content, self.key))  # starts rise with documents
-        new = np.concatenate([[True], (np.diff(self.key[order]) != 0) | (np.diff(self.content[order]) != 0)])[: len(order)]
+        self.size = (self.end - self.start).astype(np.uint32)
+        order = np.lexsort((self.start, self.size, self.second, self.content, self.key))  # starts rise with documents
+        new = changes(self.key[order], self.content[order], self.second[order], self.size[order])
         self.first, self.copies = order[new], order[~new]  # distinct segments by key and content
 
     def segments(self, lo: int, hi: int):
@@ -62,7 +81,7 @@ class Block:
         size = np.diff(at)
         count = np.maximum(size - n + 1, 0)
         if not count.sum():
-            return [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2
+            return [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.uint32)]
         spans = Spans(data)
         g = np.arange(len(data) - gram + 1)
         hashes = spans(g, g + gram)
@@ -78,7 +97,7 @@ class Block:
         place += ((firsts - place + (1 << PLACE_BITS) - 1) >> PLACE_BITS) << PLACE_BITS  # the first such place at or after the window's start
         new = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(firsts) != 1)]))
         start, end = firsts[new], firsts[np.concatenate([new[1:] - 1, [len(firsts) - 1]])] + n
-        return start + a, end + a, mixed(hashes[place[new]], 9), spans(start, end)  # mixed anew: minimizers are small numbers, and shards are ranges
+        return start + a, end + a, mixed(hashes[place[new]], 9), spans(start, end), (OtherSpans(data)(start, end) >> np.uint64(32)).astype(np.uint32)  # mixed anew: minimizers are small numbers, and shards are ranges
 
     def sent(self, shards: int):
         """(shard, places in first)"""
@@ -89,7 +108,7 @@ class Block:
 def introduce(length: int, shards: int):
     def work(rows: pa.Table) -> pa.Table:
         b, block = Block(rows, length), int(rows.column("_block")[0].as_py())
-        return message([(block, s, 0, pack(np.diff(b.key[i], prepend=np.uint64(0)), (b.content[i] >> np.uint64(32)).astype(np.uint32), b.ids[b.doc[i]])) for s, i in b.sent(shards)])
+        return message([(block, s, 0, pack(np.diff(b.key[i], prepend=np.uint64(0)), b.content[i], b.ids[b.doc[i]], b.second[i], b.size[i])) for s, i in b.sent(shards)])
 
     return work
 
@@ -97,11 +116,11 @@ def introduce(length: int, shards: int):
 def compare(messages: pa.Table) -> pa.Table:
     """Answers, for each entry, whether it is a later copy of another block's, and into how many parts the bytes asked for go (0: not asked for)."""
     parts = [unpack(b.as_py()) for b in messages.column("body")]
-    key, content, ids = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-    order = np.lexsort((ids, content, key))
-    k, c = key[order], content[order]
-    new_key = np.concatenate([[True], np.diff(k) != 0])
-    new = new_key | np.concatenate([[True], np.diff(c.astype(np.int64)) != 0])
+    key = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    content, ids, second, size = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
+    order = np.lexsort((ids, size, second, content, key))
+    new_key = changes(key[order])
+    new = changes(key[order], content[order], second[order], size[order])
     copy, split = np.zeros(len(key), bool), np.zeros(len(key), np.uint32)
     copy[order] = ~new
     group = np.cumsum(new_key) - 1
