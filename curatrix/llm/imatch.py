@@ -1,14 +1,16 @@
 """I-Match fingerprints over several randomised lexicon subsets.
 
 A document's terms are kept if their document frequency lies in a band of the corpus (neither too rare to survive an
-edit, nor too common to tell texts apart). Each of SUBSETS lexicon subsets takes the terms whose hash falls to it; the
-sorted distinct terms that a document has of a subset are hashed to one signature. The fingerprint is the list of
-signatures. Two documents are alike in the share of subsets, among those either has terms of, with equal signatures.
+edit, nor too common to tell texts apart). Every term of the band falls to TIMES of the SUBSETS overlapping lexicon
+subsets, by its hash; the distinct terms that a document has of a subset make one signature. The fingerprint is the
+list of signatures. Two documents are alike in the share of subsets, among those either has terms of, with equal
+signatures.
 
-Only DataFrame functions run here. Terms of no subset are dropped before anything is counted or shuffled, as they
-never matter. Terms above the band are few: a corpus of N documents with T distinct terms a document has at most
-T / MAX_SHARE terms in over MAX_SHARE of the documents, whatever N; that list is broadcast and its terms leave before the
-shuffle, so no term's group is larger than the band allows.
+Only DataFrame functions run here. All terms are counted. Terms above the band are few: a
+corpus of N texts with T distinct terms a text has at most T / MAX_SHARE terms in over MAX_SHARE of them, whatever N;
+that list is broadcast. A signature is the exclusive or of
+its terms' hashes, added up by document from rows (id, term), and the lexicon is joined to these rows: no term's group
+meets in one task except through a join, which splits large groups.
 
 Defined results: null texts are empty; a text with no term in the lexicon has a fingerprint of its whole text, alike
 to those of equal texts alone. Rows with null ids are left out, as they have no place in the order; of rows with one id
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import once, stored, table, words_of
 
 SUBSETS = 32
-#: A subset takes this share of all terms, as one in so many.
-ONE_IN = 256
+#: So many subsets take each term.
+TIMES = 2
 #: The band: at least this many documents, and at most this share of all texts (but MAX_LEAST documents at least).
 MIN_DOCUMENTS, MAX_SHARE, MAX_LEAST = 2, 0.02, 20
 #: Hex digits of a signature; an empty one is dashes.
@@ -33,28 +35,41 @@ EMPTY = "-" * DIGITS
 
 
 def terms(text: Column) -> Column:
-    """The hashes of a text's distinct lower-case words that fall to any subset: the hash modulo ONE_IN is the subset's number."""
-    hashes = F.transform(F.array_distinct(words_of(F.lower(text))), lambda w: F.xxhash64(w))
-    return F.filter(hashes, lambda h: F.pmod(h, F.lit(ONE_IN)) < SUBSETS)
+    """The hashes of a text's distinct lower-case words."""
+    return F.transform(F.array_distinct(words_of(F.lower(text))), lambda w: F.xxhash64(w))
+
+
+def subsets(term: Column) -> list[Column]:
+    """The numbers of the TIMES different subsets that take a term."""
+    step = F.pmod(F.shiftright(term, 16), F.lit((SUBSETS - 1) // (TIMES - 1))) + 1  # so small that no step comes round
+    return [F.pmod(F.pmod(term, F.lit(SUBSETS)) + step * k, F.lit(SUBSETS)) for k in range(TIMES)]
 
 
 def lexicon_terms(rows: DataFrame, n_texts: int) -> DataFrame:
-    """rows (id, term, counts: whether the text is one of the corpus) whose term lies in the band of document frequency. It reads rows twice."""
+    """rows (term, own, counts: whether this row is one of a distinct text) whose term lies in the band of document frequency. It reads rows twice."""
     most = max(MAX_LEAST, int(MAX_SHARE * n_texts))
-    frequency = F.sum(F.col("counts").cast("long"))
-    common = rows.groupBy("term").agg(frequency.alias("_n")).where(F.col("_n") > most).select(F.col("term").alias("_common"))
+    frequency = stored(rows.where("own AND counts").groupBy("term").agg(F.count("*").alias("_n")).where(F.col("_n") >= MIN_DOCUMENTS))
+    common = frequency.where(F.col("_n") > most).select(F.col("term").alias("_common"))
     rest = rows.join(F.broadcast(common), F.col("term") == F.col("_common"), "left_anti")  # bounded, see above
-    return rest.withColumn("_n", frequency.over(Window.partitionBy("term"))).where(F.col("_n") >= MIN_DOCUMENTS).drop("_n")
+    band = frequency.where(F.col("_n") <= most).select(F.col("term").alias("_term"))
+    return rest.join(band, F.col("term") == F.col("_term")).drop("_term")
 
 
-def fingerprint(lexicon: Column, whole: Column) -> Column:
-    """Each subset's signature of a document's sorted lexicon terms, one after the other; whole: a hash of the text, for documents without such terms."""
+def signatures(found: DataFrame) -> DataFrame:
+    """(_id, _own, _changed) from rows (id, term, own, changed): by subset, the exclusive or of the hashes of a document's terms (null: no terms)."""
+    numbered = found.select("id", "term", "own", "changed", F.explode(F.array(*subsets(F.col("term")))).alias("subset"))
+    side = lambda c: F.bit_xor(F.when(F.col(c), F.xxhash64("term", "subset")))
+    each = numbered.groupBy("id", "subset").agg(side("own").alias("own"), side("changed").alias("changed"))
+    listed = each.groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("subset").cast("int"), F.struct("own", "changed")))).alias("_of"))
+    at = lambda c: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.try_element_at("_of", k)[c])
+    return listed.select("_id", at("own").alias("_own"), at("changed").alias("_changed"))
 
-    def one(k: Column) -> Column:
-        own = F.filter(lexicon, lambda t: F.pmod(t, F.lit(ONE_IN)) == k)
-        return F.when(F.size(own) == 0, F.lit(EMPTY)).otherwise(F.substring(hexed(F.xxhash64(own)), 1, DIGITS))
 
-    return F.when(F.size(lexicon) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one), "")).otherwise(F.concat(F.lit("="), hexed(whole)))
+def fingerprint(own: Column, whole: Column) -> Column:
+    """Each subset's signature (null: none), one after the other; whole: a hash of the text, for documents without lexicon terms."""
+    one = lambda x: F.when(x.isNull(), F.lit(EMPTY)).otherwise(F.substring(hexed(F.xxhash64(x)), 1, DIGITS))
+    some = F.exists(F.coalesce(own, F.array().cast("array<bigint>")), lambda x: x.isNotNull())
+    return F.when(some, F.array_join(F.transform(own, one), "")).otherwise(F.concat(F.lit("="), hexed(whole)))
 
 
 def hexed(number: Column) -> Column:
@@ -96,12 +111,12 @@ def imatch_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "t
         docs = docs.groupBy("id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("_most")).select("id", "_most.text")
     both = with_edited(docs, order)
     rows = stored(once(both, {"edited_sha256": F.sha2("edited", 256), "_whole": F.xxhash64("text"), "_edited_whole": F.xxhash64("edited"), "_terms": terms(F.col("text")), "_edited_terms": terms(F.col("edited"))}).drop("text", "edited"))
-    sided = lambda c, own: F.transform(F.col(c), lambda t: F.struct(t.alias("term"), F.lit(own).alias("counts")))
-    found = lexicon_terms(rows.select("id", F.inline(F.concat(sided("_terms", True), sided("_edited_terms", False)))), rows.count())
-    lists = found.groupBy(F.col("id").alias("_id")).agg(*[F.sort_array(F.collect_list(F.when(F.col("counts") == own, F.col("term")))).alias(c) for c, own in (("_own", True), ("_changed", False))])  # a document's terms
-    none = F.array().cast("array<bigint>")
-    marked = rows.drop("_terms", "_edited_terms").join(lists, F.col("id") == F.col("_id"), "left")
-    marked = once(marked, {"fingerprint": fingerprint(F.coalesce("_own", none), F.col("_whole")), "edited_fingerprint": fingerprint(F.coalesce("_changed", none), F.col("_edited_whole"))}).select("id", "n_chars", "next_id", "edited_sha256", "fingerprint", "edited_fingerprint")
+    sided = lambda c, own, changed: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(own).alias("own"), F.lit(changed).alias("changed")))
+    a, b = F.col("_terms"), F.col("_edited_terms")
+    listed = F.concat(sided(F.array_intersect(a, b), True, True), sided(F.array_except(a, b), True, False), sided(F.array_except(b, a), False, True))
+    found = lexicon_terms(rows.select("id", F.lit(True).alias("counts"), F.inline(listed)), rows.count())
+    marked = rows.drop("_terms", "_edited_terms").join(signatures(found), F.col("id") == F.col("_id"), "left")
+    marked = once(marked, {"fingerprint": fingerprint(F.col("_own"), F.col("_whole")), "edited_fingerprint": fingerprint(F.col("_changed"), F.col("_edited_whole"))}).select("id", "n_chars", "next_id", "edited_sha256", "fingerprint", "edited_fingerprint")
     marked = stored(marked)
     after = marked.select(F.col("id").alias("_next"), F.col("fingerprint").alias("_next_fingerprint"))
     paired = marked.join(after, F.col("next_id") == F.col("_next"))
