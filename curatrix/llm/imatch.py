@@ -6,11 +6,12 @@ subsets, by its hash; the distinct terms that a document has of a subset make on
 list of signatures. Two documents are alike in the share of subsets, among those either has terms of, with equal
 signatures.
 
-Only DataFrame functions run here. All terms are counted. Terms above the band are few: a
-corpus of N texts with T distinct terms a text has at most T / MAX_SHARE terms in over MAX_SHARE of them, whatever N;
-that list is broadcast. A signature is the exclusive or of
-its terms' hashes, added up by document from rows (id, term), and the lexicon is joined to these rows: no term's group
-meets in one task except through a join, which splits large groups.
+Only DataFrame functions run here. All terms are counted. Document frequency counts distinct texts, so that copies do
+not push their own terms out of the band: of equal texts the smallest id alone counts. Terms above the band are few: a
+corpus of N distinct texts with T distinct terms a text has at most T / MAX_SHARE terms in over MAX_SHARE of them,
+whatever N; that list is broadcast. But a term may be in many copies of few texts, so a signature is the exclusive or of
+its terms' hashes, added up by document from rows (id, term) where they are. A lexicon of up to BROADCAST_TERMS terms is
+broadcast to these rows; a larger one is joined by a shuffle, in which Spark splits large groups.
 
 Defined results: null texts are empty; a text with no term in the lexicon has a fingerprint of its whole text, alike
 to those of equal texts alone. Rows with null ids are left out, as they have no place in the order; of rows with one id
@@ -27,8 +28,10 @@ from .common import once, stored, table, words_of
 SUBSETS = 32
 #: So many subsets take each term.
 TIMES = 2
-#: The band: at least this many documents, and at most this share of all texts (but MAX_LEAST documents at least).
+#: The band: at least this many documents, and at most this share of the distinct texts (but MAX_LEAST documents at least).
 MIN_DOCUMENTS, MAX_SHARE, MAX_LEAST = 2, 0.02, 20
+#: A lexicon of up to so many terms is broadcast to the documents' terms; a larger one is joined to them by a shuffle.
+BROADCAST_TERMS = 2_000_000
 #: Hex digits of a signature; an empty one is dashes.
 DIGITS = 8
 EMPTY = "-" * DIGITS
@@ -49,9 +52,11 @@ def lexicon_terms(rows: DataFrame, n_texts: int) -> DataFrame:
     """rows (term, own, counts: whether this row is one of a distinct text) whose term lies in the band of document frequency. It reads rows twice."""
     most = max(MAX_LEAST, int(MAX_SHARE * n_texts))
     frequency = stored(rows.where("own AND counts").groupBy("term").agg(F.count("*").alias("_n")).where(F.col("_n") >= MIN_DOCUMENTS))
+    band = frequency.where(F.col("_n") <= most).select(F.col("term").alias("_term"))
+    if band.count() <= BROADCAST_TERMS:
+        return rows.join(F.broadcast(band), F.col("term") == F.col("_term"), "left_semi")
     common = frequency.where(F.col("_n") > most).select(F.col("term").alias("_common"))
     rest = rows.join(F.broadcast(common), F.col("term") == F.col("_common"), "left_anti")  # bounded, see above
-    band = frequency.where(F.col("_n") <= most).select(F.col("term").alias("_term"))
     return rest.join(band, F.col("term") == F.col("_term")).drop("_term")
 
 
@@ -110,12 +115,15 @@ def imatch_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     if not docs.groupBy("id").count().where("count > 1").isEmpty():
         docs = docs.groupBy("id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("_most")).select("id", "_most.text")
     both = with_edited(docs, order)
-    rows = stored(once(both, {"edited_sha256": F.sha2("edited", 256), "_whole": F.xxhash64("text"), "_edited_whole": F.xxhash64("edited"), "_terms": terms(F.col("text")), "_edited_terms": terms(F.col("edited"))}).drop("text", "edited"))
-    sided = lambda c, own, changed: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(own).alias("own"), F.lit(changed).alias("changed")))
+    rows = once(both, {"edited_sha256": F.sha2("edited", 256), "_whole": F.xxhash64("text"), "_edited_whole": F.xxhash64("edited"), "_terms": terms(F.col("text")), "_edited_terms": terms(F.col("edited"))}).drop("text", "edited")
     a, b = F.col("_terms"), F.col("_edited_terms")
-    listed = F.concat(sided(F.array_intersect(a, b), True, True), sided(F.array_except(a, b), True, False), sided(F.array_except(b, a), False, True))
-    found = lexicon_terms(rows.select("id", F.lit(True).alias("counts"), F.inline(listed)), rows.count())
-    marked = rows.drop("_terms", "_edited_terms").join(signatures(found), F.col("id") == F.col("_id"), "left")
+    rows = stored(rows.withColumns({"_both": F.array_intersect(a, b), "_lost": F.array_except(a, b), "_new": F.array_except(b, a)}).drop("_terms", "_edited_terms"))
+    firsts = stored(rows.groupBy("_whole", "n_chars").agg(F.min("id").alias("_first")).select("_first"))  # one id of each distinct text
+    counted = rows.join(firsts, F.col("id") == F.col("_first"), "left")
+    sided = lambda c, own, changed: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(own).alias("own"), F.lit(changed).alias("changed")))
+    listed = F.concat(sided("_both", True, True), sided("_lost", True, False), sided("_new", False, True))
+    found = lexicon_terms(counted.select("id", F.col("_first").isNotNull().alias("counts"), F.inline(listed)), firsts.count())
+    marked = rows.drop("_both", "_lost", "_new").join(signatures(found), F.col("id") == F.col("_id"), "left")
     marked = once(marked, {"fingerprint": fingerprint(F.col("_own"), F.col("_whole")), "edited_fingerprint": fingerprint(F.col("_changed"), F.col("_edited_whole"))}).select("id", "n_chars", "next_id", "edited_sha256", "fingerprint", "edited_fingerprint")
     marked = stored(marked)
     after = marked.select(F.col("id").alias("_next"), F.col("fingerprint").alias("_next_fingerprint"))

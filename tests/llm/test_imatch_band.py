@@ -1,4 +1,4 @@
-"""I-Match fingerprints and likeness against brute force, on short texts."""
+"""I-Match fingerprints and likeness against brute force, on short texts and in a large group of copies."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from curatrix.llm import imatch
 def brute(texts, spark):
     """near_edited and near_next of each text, from sets of terms."""
     words = [set(t.lower().split()) for t in texts]
-    counted = Counter(w for own in words for w in own)
-    n = len(texts)
+    counted = Counter(w for own in {t: set(t.lower().split()) for t in texts}.values() for w in own)
+    n = len(set(texts))
     band = sorted(w for w, k in counted.items() if 2 <= k <= max(20, int(0.02 * n)))
     table = spark.createDataFrame([(w,) for w in band], "w string")
     hashed = {r["w"]: r["h"] for r in table.selectExpr("w", "xxhash64(w) AS h").collect()}
@@ -45,3 +45,14 @@ def test_likeness_matches_brute_force(spark, size):
     got = {r["id"]: r for r in imatch.imatch_with_edits(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
     assert [x for k in range(80) for x in (got[k]["near_edited"], got[k]["near_next"])] == pytest.approx([x for pair in want for x in pair], abs=1.01e-4)  # halves round either way
     assert all(got[k]["fingerprint"].startswith("=") != bool(words[k] & band) for k in range(80))
+
+
+@pytest.mark.parametrize("most", [imatch.BROADCAST_TERMS, 0])
+def test_copies_keep_their_terms(spark, most, monkeypatch):
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", most)  # 0: the lexicon is joined by a shuffle
+    base = " ".join(f"c{k}" for k in range(40))
+    texts = [base] * 50 + [base + " end"] + [f"u{k} v{k} w{k}" for k in range(49)]
+    want, *_ = brute(texts, spark)
+    got = {r["id"]: r for r in imatch.imatch_with_edits(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got[49]["near_next"] == want[49][1] == 1.0 and not got[0]["fingerprint"].startswith("=")
+    assert [x for k in range(100) for x in (got[k]["near_edited"], got[k]["near_next"])] == pytest.approx([x for pair in want for x in pair], abs=1.01e-4)
