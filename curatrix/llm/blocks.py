@@ -1,10 +1,12 @@
-"""Blocks of documents that exchange compact messages with shards of a hash space.
-
-Operators that compare every document with every other work in rounds. Documents are dealt once into blocks by a
-hash of their id; each round reads that exchange again. A block sends one message to each shard of the hash space
-(arrays, delta-coded and compressed); a shard answers each message with a few bits an entry, in the message's own
-order, which the block can make again because its work is deterministic. No group is larger than a block, or than
-what the blocks send to one shard: an entry that half the corpus shares reaches its shard once from each block.
+"""Blocks of documents that exchange arrays with shards of a hash space.
+
+Operators that compare every document with every other work in rounds. Documents are dealt once into blocks; each
+round reads that exchange again. A block sends one row to each shard that it has entries for: the entries are sorted
+by hash, shards are ranges of the hash space, and a row holds a slice of the block's arrays as binary columns. A shard
+reads all its rows as whole arrays and answers each row in its own order, which the block can make again because its
+work is deterministic. No step loops over rows, so that a row costs what any row of a shuffle costs. No group is
+larger than a block, or than what the blocks send to one shard: an entry that half the corpus shares reaches its shard
+once from each block.
 """
 
 from __future__ import annotations
@@ -13,12 +15,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MESSAGE = "block long, shard long, kind int, body binary"
-SCHEMA = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("kind", pa.int32()), ("body", pa.binary())])
+#: a, b, c: what an operator sends, as binary arrays.
+MESSAGE = "block int, shard int, a binary, b binary, c binary"
 #: Bytes of text that the numpy steps take at a time.
 CHUNK = 1 << 19
 BLOCKS_A_PARTITION = 2
@@ -31,89 +32,119 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame, number: Column, each: int) -> Column:
-    """number (from 0 to each times the partitions) as keys of which every shuffle partition gets the same number.
+def in_blocks(docs: DataFrame, *columns: str) -> DataFrame:
+    """docs with _block, by a hash of these columns: a partition for each block. Rows that are equal in all of them share a block."""
+    n = BLOCKS_A_PARTITION * partitions(docs)
+    return docs.withColumn("_block", F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")).repartitionById(n, F.col("_block"))
 
-    Left to their hashes, a few keys would share a partition and others stay empty; so keys are chosen by hash().
-    """
-    n = partitions(df)
-    hashed = df.sparkSession.range(64 * each * n).withColumn("p", F.pmod(F.hash("id"), F.lit(n)))
-    ranked = hashed.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("id"))).where(F.col("k") <= each)
-    keys = {(r["p"], r["k"]): r["id"] for r in ranked.collect()}  # each times n rows
-    listed = [keys.get((p, k), -1 - p - n * k) for k in range(1, each + 1) for p in range(n)]
-    return F.element_at(F.array(*[F.lit(x).cast("long") for x in listed]), (number + 1).cast("int"))
 
+def from_blocks(docs: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """The rows that each block sends."""
+    return docs.groupBy("_block").applyInArrow(work, MESSAGE)
 
-def in_blocks(docs: DataFrame, id_column: str) -> DataFrame:
-    """docs with its block. Null ids share one block."""
-    number = F.pmod(F.xxhash64(F.col(id_column)), F.lit(BLOCKS_A_PARTITION * partitions(docs)))
-    return docs.withColumn("_block", spread(docs, number, BLOCKS_A_PARTITION))
 
+def at_shards(messages: DataFrame, shards: int, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """The answers of each shard."""
+    return messages.repartitionById(shards, F.col("shard")).groupBy("shard").applyInArrow(work, MESSAGE)
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed body; the bytes of numbers are stored by place, so that small ones compress."""
-    parts = [np.array([len(arrays)], "<i8").tobytes()]
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        parts += [a.dtype.str.encode().ljust(8), np.array([len(a)], "<i8").tobytes(), a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
+def back_in_blocks(docs: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
+    """What each block makes of its documents and of the answers to it."""
+    answers = answers.repartitionById(BLOCKS_A_PARTITION * partitions(docs), F.col("block"))
+    return docs.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(work, schema)
 
-def unpack(body: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(body)
-    at, out = 8, []
-    for _ in range(int(np.frombuffer(raw, "<i8", 1)[0])):
-        kind, n = np.dtype(raw[at : at + 8].decode().strip()), int(np.frombuffer(raw, "<i8", 1, at + 8)[0])
-        size = n * kind.itemsize
-        planes = np.frombuffer(raw, np.uint8, size, at + 16).reshape(kind.itemsize, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
-        at += 16 + size
-    return out
 
+def message(block: np.ndarray | int, shard: np.ndarray, *bodies: pa.Array) -> pa.Table:
+    n = len(shard)
+    bodies = [*bodies, *[pa.nulls(n, pa.binary())] * (3 - len(bodies))]
+    return pa.table([pa.array(np.broadcast_to(np.asarray(x, np.int32), n)) for x in (block, shard)] + bodies, ["block", "shard", "a", "b", "c"])
 
-def message(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
-    return pa.table(list(map(list, zip(*rows, strict=True))) if rows else [[], [], [], []], schema=SCHEMA)
 
+def answer(asked: pa.Table, *bodies: pa.Array) -> pa.Table:
+    """A row back for each row."""
+    return message(asked.column("block").to_numpy(), asked.column("shard").to_numpy(), *bodies)
 
-def by_kind(replies: pa.Table, kind: int) -> dict[int, list[np.ndarray]]:
-    """The unpacked bodies of one kind, by shard."""
-    return {s: unpack(b) for s, k, b in zip(*(replies.column(c).to_pylist() for c in ("shard", "kind", "body")), strict=True) if k == kind}
 
+def sliced(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the shards that occur, where each's entries begin, the end last) of the rising shard numbers of entries."""
+    at = np.flatnonzero(np.diff(shard, prepend=-1))
+    return shard[at], np.append(at, len(shard))
 
-def from_blocks(docs: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """The messages of each block."""
-    return docs.groupBy("_block").applyInArrow(work, MESSAGE)
 
+def raw(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Slices of an array (at: where each begins, the end last) as one binary value each."""
+    values = np.ascontiguousarray(values)
+    size = values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at * size, np.int64)), pa.py_buffer(values.reshape(-1).view(np.uint8))]).cast(pa.binary())
 
-def at_shards(messages: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """The answers of each shard."""
-    return messages.withColumn("_key", spread(messages, F.col("shard"), 1)).groupBy("_key").applyInArrow(work, MESSAGE)
 
+def flat(column: pa.ChunkedArray, kind: str = "u1", width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The values (rows of width numbers, if over 1) of all of a column's bodies, and where each body begins, the end last."""
+    data, at = texts(column, pa.large_binary(), b"")
+    values = np.frombuffer(data.tobytes(), f"<{kind}")
+    at = at // (np.dtype(kind).itemsize * width)
+    return (values.reshape(-1, width) if width > 1 else values), at
 
-def back_in_blocks(docs: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
-    """What each block makes of its documents and of the answers to it."""
-    return docs.groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(work, schema)
+
+def varint(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Slices of small numbers, seven bits a byte."""
+    values = np.asarray(values, np.uint64)
+    size = np.ones(len(values), np.int64)
+    for k in range(1, 10):
+        size += values >= np.uint64(1 << 7 * k)
+    end = np.cumsum(size)
+    start, out = end - size, np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
+    for k in range(int(size.max(initial=0))):
+        some = np.flatnonzero(size > k) if k else slice(None)
+        out[start[some] + k] = ((values[some] >> np.uint64(7 * k)) & np.uint64(127)) | ((size[some] > k + 1).astype(np.uint64) << np.uint64(7))
+    return raw(out, np.concatenate([[0], end])[at])
+
+
+def unvarint(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all of a column's bodies, and where each body begins, the end last."""
+    data, at = flat(column)
+    end = np.flatnonzero(data < 128)
+    start = np.concatenate([[0], end + 1])[: len(end)]
+    size = end - start + 1
+    values = (data[start] & 127).astype(np.int64)
+    for k in range(1, int(size.max(initial=0))):
+        some = np.flatnonzero(size > k)
+        values[some] |= (data[start[some] + k] & 127).astype(np.int64) << 7 * k
+    return values, np.searchsorted(start, at)
+
+
+def bit_places(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each entry's bit, each slice's first byte, the end last), where every slice begins a byte."""
+    n = np.diff(at)
+    first = np.concatenate([[0], np.cumsum((n + 7) // 8)])
+    return np.repeat(first[:-1] * 8 - at[:-1], n) + np.arange(at[-1]), first
+
+
+def bits(flags: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Slices of flags."""
+    place, first = bit_places(at)
+    out = np.zeros(int(first[-1]) * 8, bool)
+    out[place] = flags
+    return raw(np.packbits(out), first)
 
 
-def shard_of(h: np.ndarray, n: int) -> np.ndarray:
-    """Shards are ranges of the hash space, so that sorted hashes fall into slices."""
-    return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+def unbits(column: pa.ChunkedArray, at: np.ndarray) -> np.ndarray:
+    """The flags again, in slices as sent."""
+    return np.unpackbits(flat(column)[0])[bit_places(at)[0]].astype(bool)
 
 
-def slices(h: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
-    """(shard, from, to) of sorted hashes."""
-    s = shard_of(h, n).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(s)) + 1
-    for a, b in zip([0, *cuts], [*cuts, len(s)], strict=True):
-        if b > a:
-            yield int(s[a]), int(a), int(b)
+def restarted(steps: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Running sums of differences that begin anew in every slice."""
+    total, n = np.cumsum(steps), np.diff(at)
+    first = at[:-1][n > 0]
+    return total - np.repeat(total[first] - steps[first], n[n > 0])
 
 
-def texts(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def texts(column: pa.ChunkedArray | pa.Array, kind: pa.DataType = pa.large_string(), empty: str | bytes = "") -> tuple[np.ndarray, np.ndarray]:  # noqa: B008
     """The bytes of all texts (null: empty) and where each begins, the end last."""
     if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
-    column = column.cast(pa.large_string()).fill_null("")
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], kind)
+    column = column.cast(kind).fill_null(empty)
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()

@@ -4,26 +4,30 @@ A byte goes if a string of `length` bytes that covers it also starts earlier: in
 the same one. All occurrences of such a string have to meet in one place without every suffix travelling there:
 
 1. Each window of `length` bytes is represented by its least hashed gram (a minimizer); successive windows with the
-   same minimizer form a segment. Equal windows have equal minimizers. A block sends its distinct segments as two
-   hashes, of 64 and of 32 bits from other sums, and their lengths: n different segments of one minimizer and length
-   give about n^2 / 2^97 false copies.
-2. The shard of a minimizer finds equal segments: all but the earliest are copies, wholly removable. Only where a
-   minimizer stands in segments of different bytes can parts of them be equal, and only those are asked for.
-3. Blocks send the bytes of these few. Their shard sorts the suffixes of each group of segments and computes, from
-   the previous and next smaller positions in suffix order, each suffix's longest previous factor. A window goes if
-   that factor is at least its own length, so the first occurrence stays.
-4. Each block removes what its own copies, the answers of step 2 and the spans of step 3 cover.
+   same minimizer form a segment. Equal windows have equal minimizers. Of its distinct segments a block sends
+   - to the shard of the content the 128-bit BLAKE2b digest of the bytes, with the document: all segments of one
+     digest but the earliest are copies, wholly removable (no two strings of one digest are known or can be made);
+   - to the shard of the minimizer one entry for each minimizer, with a digest if the block has one content of it.
+     Only where a minimizer stands in segments of different bytes can parts of them be equal, and only those are asked for.
+   So a minimizer or a content that half the corpus shares reaches its shard once from each block.
+2. Blocks send the bytes of the segments asked for that are no copies. Their shard sorts the suffixes of each group of
+   segments and computes, from the previous and next smaller positions in suffix order, each suffix's longest previous
+   factor. A window goes if that factor is at least its own length, so the first occurrence stays.
+3. Each block removes what its own copies, the copies told in step 1 and the spans of step 2 cover.
 
 A minimizer with more than MOST_SEGMENTS different segments is split: each part takes the windows whose own hash
 falls to it, so that equal windows still meet; no group grows with the corpus and none is cut short.
 
-Defined results: null texts are empty; texts shorter than `length` stay whole; rows with the same id are ordered by
-their texts and count as different documents; null ids come before all others. Matches never cross documents. A cut
-may leave bytes that are no valid UTF-8 at its ends: kept_bytes has them exactly, while a kept text drops them.
+Defined results: null texts are empty; texts shorter than `length` stay whole; rows with the same id count as different
+documents, in a fixed order of their own; null ids come before all others. Matches never cross documents. A cut
+may leave bytes that are no valid UTF-8 at its ends: kept_bytes has them exactly, while a kept text drops them. Other
+columns pass through unchanged, whatever their names, unless they have the name of a result column.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .blocks import MESSAGE, Spans, at_shards, back_in_blocks, by_kind, chunks, from_blocks, in_blocks, in_order, message, mixed, pack, partitions, slices, texts, unpack
+from .blocks import MESSAGE, Spans, answer, at_shards, back_in_blocks, bits, chunks, flat, from_blocks, in_blocks, in_order, message, mixed, partitions, raw, sliced, texts, unbits, unvarint, varint
 from .common import table
 
 LENGTH = 100
@@ -44,15 +48,6 @@ NO_ID = -(1 << 63)
 PLACE_BITS = 26
 
 
-class OtherSpans(Spans):
-    """Hashes independent of those of Spans."""
-
-    base = np.uint64(0xD1342543DE82EF95)
-    unbase = np.uint64(pow(int(base), -1, 1 << 64))
-    values = np.random.default_rng(29).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-    _up = _down = np.ones(1, np.uint64)
-
-
 def changes(*arrays: np.ndarray) -> np.ndarray:
     """Where a value differs from the one before it, in any of the arrays; the first place always."""
     out = np.ones(len(arrays[0]), bool)
@@ -60,31 +55,57 @@ def changes(*arrays: np.ndarray) -> np.ndarray:
     return out
 
 
+def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
+    """Shards are ranges of the hash space."""
+    return (((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
 class Block:
     """The segments of a block's documents."""
 
-    def __init__(self, rows: pa.Table, length: int):
-        self.rows, self.length = in_order(rows, "_id", "_text"), length
-        self.data, self.at = texts(self.rows.column("_text"))
-        self.ids = self.rows.column("_id").to_numpy()
+    def __init__(self, rows: pa.Table, length: int, shards: int):
+        self.rows, self.length = in_order(rows, "id", "text"), length
+        self.data, self.at = texts(self.rows.column("text"))
+        self.ids = self.rows.column("id").to_numpy()
         found = [self.segments(lo, hi) for lo, hi in chunks(self.at)]
-        self.start, self.end, self.key, self.content, self.second = (np.concatenate([np.zeros(0, t), *[f[k] for f in found]]) for k, t in enumerate((np.int64, np.int64, np.uint64, np.uint64, np.uint32)))
+        self.start, self.end, self.key = (np.concatenate([np.zeros(0, t), *[f[k] for f in found]]) for k, t in enumerate((np.int64, np.int64, np.uint64)))
         self.doc = np.searchsorted(self.at, self.start, "right") - 1
-        self.size = (self.end - self.start).astype(np.uint32)
-        order = np.lexsort((self.start, self.size, self.second, self.content, self.key))  # starts rise with documents
-        new = changes(self.key[order], self.content[order], self.second[order], self.size[order])
-        self.first, self.copies = order[new], order[~new]  # distinct segments by key and content
+        data, known = self.data.tobytes(), {}
+        self.content = np.array([known.setdefault(self.digest(data[a:b]), len(known)) for a, b in zip(self.start.tolist(), self.end.tolist(), strict=True)], np.int64)
+        digest = np.frombuffer(b"".join(known), "<u8").reshape(-1, 2)
+        first = np.zeros(len(known), np.int64)
+        first[self.content[::-1]] = np.arange(len(self.content))[::-1]  # starts rise with documents
+        # distinct contents, in order of their shards
+        shard = shard_of(digest[:, 0], shards)
+        order = np.argsort(shard, kind="stable")
+        self.first, self.digests = first[order], digest[order]
+        self.content_shards, self.content_cuts = sliced(shard[order])
+        self.rank = np.zeros(len(order), np.int64)  # by content, its place in first
+        self.rank[order] = np.arange(len(order))
+        # distinct minimizers, in order of their shards
+        key = self.key[self.first]
+        by_key = np.argsort(key, kind="stable")
+        at = np.flatnonzero(changes(key[by_key])) if len(key) else by_key
+        self.keys, self.contents = key[by_key][at], np.diff(np.append(at, len(by_key)))
+        self.only = np.where(self.contents == 1, self.digests[by_key[at], 0], np.uint64(0))
+        self.key_of = np.zeros(len(by_key), np.int64)  # by place in first, its place in keys
+        self.key_of[by_key] = np.repeat(np.arange(len(at)), self.contents)
+        self.key_shards, self.key_cuts = sliced(shard_of(self.keys, shards))
+
+    @staticmethod
+    def digest(content: bytes) -> bytes:
+        return blake2b(content, digest_size=16).digest()
 
     def segments(self, lo: int, hi: int):
+        """(starts, ends, minimizers)"""
         a, gram, n = self.at[lo], GRAM, self.length
         data, at = self.data[a : self.at[hi]], self.at[lo : hi + 1] - a
         size = np.diff(at)
         count = np.maximum(size - n + 1, 0)
         if not count.sum():
-            return [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.uint32)]
-        spans = Spans(data)
+            return [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)]
         g = np.arange(len(data) - gram + 1)
-        hashes = spans(g, g + gram)
+        hashes = Spans(data)(g, g + gram)
         # the least of the grams of each window, the first of equals: a hash with its place in the low bits, place by place modulo
         low = (hashes & ~np.uint64((1 << PLACE_BITS) - 1)) | (g & ((1 << PLACE_BITS) - 1)).astype(np.uint64)
         grams, width = n - gram + 1, 1
@@ -97,37 +118,53 @@ class Block:
         place += ((firsts - place + (1 << PLACE_BITS) - 1) >> PLACE_BITS) << PLACE_BITS  # the first such place at or after the window's start
         new = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(firsts) != 1)]))
         start, end = firsts[new], firsts[np.concatenate([new[1:] - 1, [len(firsts) - 1]])] + n
-        return start + a, end + a, mixed(hashes[place[new]], 9), spans(start, end), (OtherSpans(data)(start, end) >> np.uint64(32)).astype(np.uint32)  # mixed anew: minimizers are small numbers, and shards are ranges
+        return start + a, end + a, mixed(hashes[place[new]], 9)  # mixed anew: minimizers are small numbers, and shards are ranges
 
-    def sent(self, shards: int):
-        """(shard, places in first)"""
-        for s, a, b in slices(self.key[self.first], shards):
-            yield s, self.first[a:b]
+    def told(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """By place in first: whether it is a copy of another block's, and into how many parts its bytes go (0: not asked for)."""
+        answers = answers.sort_by("shard")
+        copy = unbits(answers.filter(answers.column("a").is_valid()).column("a"), self.content_cuts)
+        parts, _ = unvarint(answers.filter(answers.column("b").is_valid()).column("b"))
+        return copy, parts[self.key_of]
 
 
 def introduce(length: int, shards: int):
+    """Contents go to the shards 0 to shards, minimizers to those after."""
+
     def work(rows: pa.Table) -> pa.Table:
-        b, block = Block(rows, length), int(rows.column("_block")[0].as_py())
-        return message([(block, s, 0, pack(np.diff(b.key[i], prepend=np.uint64(0)), b.content[i], b.ids[b.doc[i]], b.second[i], b.size[i])) for s, i in b.sent(shards)])
+        b, block = Block(rows, length, shards), rows.column("_block")[0].as_py()
+        contents = message(block, b.content_shards, raw(b.digests, b.content_cuts), raw(b.ids[b.doc[b.first]], b.content_cuts))
+        keys = message(block, b.key_shards + shards, raw(b.keys, b.key_cuts), raw(b.only, b.key_cuts), varint(b.contents, b.key_cuts))
+        return pa.concat_tables([contents, keys])
 
     return work
 
 
-def compare(messages: pa.Table) -> pa.Table:
-    """Answers, for each entry, whether it is a later copy of another block's, and into how many parts the bytes asked for go (0: not asked for)."""
-    parts = [unpack(b.as_py()) for b in messages.column("body")]
-    key = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-    content, ids, second, size = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
-    order = np.lexsort((ids, size, second, content, key))
-    new_key = changes(key[order])
-    new = changes(key[order], content[order], second[order], size[order])
-    copy, split = np.zeros(len(key), bool), np.zeros(len(key), np.uint32)
-    copy[order] = ~new
-    group = np.cumsum(new_key) - 1
-    different = np.bincount(group, weights=new)[group].astype(np.int64)
-    split[order] = np.where(new & (different > 1), -(-different // MOST_SEGMENTS), 0)
-    cuts = np.cumsum([0, *[len(p[1]) for p in parts]])
-    return message([(b, s, 0, pack(np.packbits(copy[x:y]), split[x:y])) for b, s, x, y in zip(messages.column("block").to_pylist(), messages.column("shard").to_pylist(), cuts[:-1], cuts[1:], strict=True)])
+def compare(shards: int):
+    return lambda asked: (contested if asked.column("shard")[0].as_py() >= shards else copies)(asked)
+
+
+def copies(asked: pa.Table) -> pa.Table:
+    """Answers which contents of a block are in a smaller document of another block."""
+    (digest, at), (ids, _) = flat(asked.column("a"), "u8", 2), flat(asked.column("b"), "i8")
+    block = np.repeat(asked.column("block").to_numpy(), np.diff(at))
+    order = np.lexsort((block, ids, digest[:, 1], digest[:, 0]))
+    later = np.zeros(len(ids), bool)
+    later[order] = ~changes(digest[order, 0], digest[order, 1])
+    return answer(asked, bits(later, at))
+
+
+def contested(asked: pa.Table) -> pa.Table:
+    """Answers into how many parts the bytes of a minimizer's segments go: 0 if all blocks have the same content of it."""
+    (key, at), (only, _), (n, _) = flat(asked.column("a"), "u8"), flat(asked.column("b"), "u8"), unvarint(asked.column("c"))
+    order = np.argsort(key, kind="stable")
+    new = changes(key[order])
+    begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+    differ = np.maximum.reduceat(n[order], begin) > 1
+    differ |= np.maximum.reduceat(only[order], begin) != np.minimum.reduceat(only[order], begin)
+    parts = np.zeros(len(key), np.int64)
+    parts[order] = np.where(differ, -(-np.add.reduceat(n[order], begin) // MOST_SEGMENTS), 0)[group]
+    return answer(asked, pa.nulls(asked.num_rows, pa.binary()), varint(parts, at))
 
 
 def supply(length: int, shards: int):
@@ -135,31 +172,25 @@ def supply(length: int, shards: int):
 
     def work(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return message([])
-        b, block, said, out = Block(rows, length), int(rows.column("_block")[0].as_py()), by_kind(answers, 0), []
-        segments, parts, of = [], [], []
-        for s, i in b.sent(shards):
-            split = said[s][1].astype(np.int64)
-            i, split = i[split > 0], split[split > 0]
-            one = split == 1
-            segments.append(i[one]), parts.append(np.zeros(one.sum(), np.int64)), of.append(split[one])
-            for x, n in zip(i[~one], split[~one], strict=True):
-                p = np.unique(part_of(b.data[b.start[x] : b.end[x]], length, n))
-                segments.append(np.full(len(p), x)), parts.append(p), of.append(np.full(len(p), n))
-        if not segments:
-            return message([])
-        i, part, of = np.concatenate(segments), np.concatenate(parts), np.concatenate(of)
+            return message(0, np.zeros(0, np.int32))
+        b, block = Block(rows, length, shards), rows.column("_block")[0].as_py()
+        copy, split = b.told(answers)
+        ask = np.flatnonzero(~copy & (split > 0))
+        whole, several = ask[split[ask] == 1], ask[split[ask] > 1]
+        segments, part, of = [b.first[whole]], [np.zeros(len(whole), np.int64)], [np.ones(len(whole), np.int64)]
+        for x, n in zip(b.first[several], split[several], strict=True):
+            p = np.unique(part_of(b.data[b.start[x] : b.end[x]], length, n))
+            segments.append(np.full(len(p), x)), part.append(p), of.append(np.full(len(p), n))
+        i, part, of = np.concatenate(segments), np.concatenate(part), np.concatenate(of)
         key = np.where(of > 1, mixed(b.key[i] + part.astype(np.uint64), 3), b.key[i])
         order = np.lexsort((b.start[i], key))
         i, part, of, key = i[order], part[order], of[order], key[order]
-        for s, x, y in slices(key, shards):
-            j = i[x:y]
-            doc = b.doc[j]
-            size = b.end[j] - b.start[j]
-            at = np.concatenate([[0], np.cumsum(size)])
-            body = b.data[np.repeat(b.start[j] - at[:-1], size) + np.arange(at[-1])]
-            out.append((block, s, 1, pack(key[x:y], part[x:y], of[x:y], b.ids[doc], doc, b.start[j] - b.at[doc], size, body)))
-        return message(out)
+        to, cuts = sliced(shard_of(key, shards))
+        size = b.end[i] - b.start[i]
+        at = np.concatenate([[0], np.cumsum(size)])
+        body = b.data[np.repeat(b.start[i] - at[:-1], size) + np.arange(at[-1])]
+        facts = np.stack([key.view(np.int64), part, of, b.ids[b.doc[i]], b.doc[i], b.start[i] - b.at[b.doc[i]], size], axis=1)
+        return message(block, to, raw(facts, cuts), raw(body, at[cuts]))
 
     return work
 
@@ -173,14 +204,13 @@ def part_of(data: np.ndarray, length: int, parts: int) -> np.ndarray:
 def previous_factors(length: int):
     """Answers which windows start earlier elsewhere, as spans of each block's documents."""
 
-    def work(messages: pa.Table) -> pa.Table:
-        parts = [unpack(x.as_py()) for x in messages.column("body")]
-        block = np.repeat(np.array(messages.column("block").to_pylist()), [len(p[0]) for p in parts])
-        key, part, of, ids, doc, start, size = (np.concatenate([p[k] for p in parts]) for k in range(7))
-        data = np.concatenate([p[7] for p in parts])
+    def work(asked: pa.Table) -> pa.Table:
+        (facts, cut), (data, _) = flat(asked.column("a"), "i8", 7), flat(asked.column("b"))
+        block = np.repeat(asked.column("block").to_numpy().astype(np.int64), np.diff(cut))
+        key, part, of, ids, doc, start, size = facts.T
         at = np.cumsum(size) - size
-        order = np.lexsort((start, doc, ids, key))
-        cuts = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) != 0]))
+        order = np.lexsort((start, doc, block, ids, key))
+        cuts = np.flatnonzero(changes(key[order]))
         ends = np.concatenate([cuts[1:], [len(order)]])
         bytes_to = np.cumsum(size[order])
         found, lo = [], 0
@@ -207,11 +237,8 @@ def previous_factors(length: int):
         b, d, s = b[order], d[order], s[order]
         new = np.flatnonzero(np.concatenate([[True], (np.diff(b) != 0) | (np.diff(d) != 0) | (np.diff(s) > 1)])[: len(b)])
         last = np.concatenate([new[1:] - 1, [len(b) - 1]]) if len(new) else new
-        shard, out = int(messages.column("shard")[0].as_py()), []
-        for x in np.unique(b[new]):
-            k = np.flatnonzero(b[new] == x)
-            out.append((int(x), shard, 1, pack(d[new][k], s[new][k], s[last][k] + length)))
-        return message(out)
+        to, cuts = sliced(b[new])
+        return message(to, np.full(len(to), asked.column("shard")[0].as_py()), pa.nulls(len(to), pa.binary()), pa.nulls(len(to), pa.binary()), raw(np.stack([d[new], s[new], s[last] + length], axis=1), cuts))
 
     return work
 
@@ -266,16 +293,14 @@ def removal(length: int, shards: int, schema: pa.Schema):
     def work(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return schema.empty_table()
-        b, said = Block(rows, length), by_kind(answers, 0)
-        start, end = [b.start[b.copies]], [b.end[b.copies]]
-        for s, i in b.sent(shards):
-            copy = np.unpackbits(said[s][0], count=len(i)).astype(bool)
-            start.append(b.start[i[copy]]), end.append(b.end[i[copy]])
-        for d, x, y in by_kind(answers, 1).values():
-            start.append(b.at[d] + x), end.append(b.at[d] + y)
+        b = Block(rows, length, shards)
+        copy, _ = b.told(answers)
+        own = np.arange(len(b.content)) != b.first[b.rank[b.content]]  # not the first of its content in this block
+        gone = own | copy[b.rank[b.content]]
+        spans, _ = flat(answers.filter(answers.column("c").is_valid()).column("c"), "i8", 3)
         edge = np.zeros(len(b.data) + 1, np.int32)
-        np.add.at(edge, np.concatenate(start), 1)
-        np.add.at(edge, np.concatenate(end), -1)
+        np.add.at(edge, np.concatenate([b.start[gone], b.at[spans[:, 0]] + spans[:, 1]]), 1)
+        np.add.at(edge, np.concatenate([b.end[gone], b.at[spans[:, 0]] + spans[:, 2]]), -1)
         gone = np.cumsum(edge[:-1], out=edge[:-1]) > 0
         before = np.zeros(len(gone), bool)
         before[1:] = gone[:-1]
@@ -295,21 +320,25 @@ def removal(length: int, shards: int, schema: pa.Schema):
 def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """docs (without text) with n_bytes, n_removed, n_spans and kept_bytes, or kept_text if as_text."""
     made = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType()} | ({"kept_text": T.StringType()} if as_text else {"kept_bytes": T.BinaryType()})
-    rest = [c for c in docs.columns if c not in (text, id_column, *made)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(id_column), F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = in_blocks(rows, "_id")
+    rest = [c for c in docs.columns if c not in (text, *made)]
+    names = [f"c{k}" for k in range(len(rest))]  # columns of docs may have any names
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = in_blocks(rows, "id", "text")
     n = partitions(docs)
-    first = at_shards(from_blocks(rows, introduce(length, n)), compare)
-    second = at_shards(back_in_blocks(rows, first, supply(length, n), MESSAGE), previous_factors(length))
-    out = T.StructType([*[f for f in rows.schema if f.name not in ("_id", "_text", "_block")], *[T.StructField(k, v) for k, v in made.items()]])
-    return back_in_blocks(rows, first.unionByName(second), removal(length, n, to_arrow_schema(out)), out)
+    first = at_shards(from_blocks(rows, introduce(length, n)), 2 * n, compare(n))
+    second = at_shards(back_in_blocks(rows, first, supply(length, n), MESSAGE), n, previous_factors(length))
+    out = T.StructType([*rows.select(*names).schema.fields, *[T.StructField(k, v) for k, v in made.items()]])
+    found = back_in_blocks(rows, first.unionByName(second), removal(length, n, to_arrow_schema(out)), out)
+    return found.select(*[F.col(n).alias(c) for n, c in zip(names, rest, strict=True)], *made)
 
 
 def suffix_dedup_filter(docs: DataFrame) -> DataFrame:
-    """docs with the repeated strings cut out of the texts; every document stays, with n_chars as it is now."""
-    cut = suffix_dedup(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row"), "doc_id", "text"), as_text=True)
-    kept = cut.select("_row.*", F.col("kept_text").alias("text"))
-    return (kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept).select(*docs.columns)
+    """docs with the repeated strings cut out of the texts, n_chars as it is now; documents of which no word is left go."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names, strict=True))
+    cut = suffix_dedup(docs.toDF(*names), at["doc_id"], at["text"], as_text=True).where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    made = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return cut.select(*[made.get(c, F.col(n)).alias(c) for c, n in at.items()])
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
