@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 MESSAGE = "block int, shard int, a binary, b binary, c binary"
 #: Bytes of text that the numpy steps take at a time.
 CHUNK = 1 << 19
-BLOCKS_A_PARTITION = 2
+BLOCKS_A_PARTITION = 3
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True

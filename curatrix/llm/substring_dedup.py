@@ -106,7 +106,7 @@ class Block:
         group, digest = self.digests(at)
         first = np.zeros(len(digest), np.int64)
         first[group[::-1]] = at[::-1]
-        shard = (digest[:, 0] >> np.uint64(64 - depth)).astype(np.int64) if depth else np.zeros(len(digest), np.int64)
+        shard = (digest[:, 0] >> np.uint64(63 - depth)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         rank = np.zeros(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -202,7 +202,7 @@ def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = in_blocks(rows, "id", "text")
     depth = shard_bits(partitions(docs))
     first = at_shards(from_blocks(rows, sketch(width, depth)), DEPTH << depth, merge)
-    second = at_shards(back_in_blocks(rows, first, candidates(width, depth), MESSAGE), 1 << depth, exact)
+    second = at_shards(back_in_blocks(rows, first, candidates(width, depth), MESSAGE), 2 << depth, exact)
     out = T.StructType([*rows.select(*names).schema.fields, *[T.StructField(k, v) for k, v in made.items()]])
     found = back_in_blocks(rows, first.unionByName(second), removal(width, depth, to_arrow_schema(out)), out)
     return found.select(*[F.col(n).alias(c) for n, c in zip(names, rest, strict=True)], *made)
