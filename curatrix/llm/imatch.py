@@ -2,20 +2,20 @@
 
 A document's terms are kept if their document frequency lies in a band of the corpus (neither too rare to survive an
 edit, nor too common to tell texts apart). Every term of the band falls to TIMES of the SUBSETS overlapping lexicon
-subsets, by its hash; the distinct terms that a document has of a subset make one signature. The fingerprint is the
-list of signatures. Two documents are alike in the share of subsets, among those either has terms of, with equal
-signatures.
+subsets, by its hash; the distinct terms that a document has of a subset make one signature, whatever their order. The
+fingerprint is the list of signatures. Two documents are alike in the share of subsets, among those either has terms
+of, with equal signatures.
 
-Only DataFrame functions run here. All terms are counted. Document frequency counts distinct texts, so that copies do
-not push their own terms out of the band: of equal texts the smallest id alone counts. Terms above the band are few: a
-corpus of N distinct texts with T distinct terms a text has at most T / MAX_SHARE terms in over MAX_SHARE of them,
-whatever N; that list is broadcast. But a term may be in many copies of few texts, so a signature is the exclusive or of
-its terms' hashes, added up by document from rows (id, term) where they are. A lexicon of up to BROADCAST_TERMS terms is
-broadcast to these rows; a larger one is joined by a shuffle, in which Spark splits large groups.
+Only DataFrame functions run here. All terms of all texts are counted, copies of a text once: of equal texts one row
+counts. The band is one of shares, the same at any size; so with T distinct terms a text on average, at most T / MIN_SHARE
+terms are in the lexicon. As T is at most half the mean length of a text, that bound is known before the lexicon is: up to
+BROADCAST_TERMS the lexicon is broadcast, above it Spark joins it as it sees fit. A signature is the exclusive or of its
+terms' hashes, added up where the document is, so that neither a term nor a text needs a row of its own in a shuffle:
+texts travel once, by their id and hash, beside the beginnings that the documents before them need.
 
 Defined results: null texts are empty; a text with no term in the lexicon has a fingerprint of its whole text, alike
-to those of equal texts alone. Rows with null ids are left out, as they have no place in the order; of rows with one id
-the longest text counts (of those the one that sorts last), and one row comes out.
+to those of equal texts alone. Rows with null ids come first in the order of documents, rows of one id in the order of their
+texts' hashes; rows equal in id and text are one document there, and come out as often as they are. The least long stands for null.
 """
 
 from __future__ import annotations
@@ -25,16 +25,17 @@ from pyspark.sql import functions as F
 
 from .common import once, stored, table, words_of
 
-SUBSETS = 32
+SUBSETS = 128
 #: So many subsets take each term.
 TIMES = 2
-#: The band: at least this many documents, and at most this share of the distinct texts (but MAX_LEAST documents at least).
-MIN_DOCUMENTS, MAX_SHARE, MAX_LEAST = 2, 0.02, 20
-#: A lexicon of up to so many terms is broadcast to the documents' terms; a larger one is joined to them by a shuffle.
-BROADCAST_TERMS = 2_000_000
+#: The band of document frequency: this many distinct texts at least, and these shares of them.
+MIN_DOCUMENTS, MIN_SHARE, MAX_SHARE = 2, 1 / 2000, 1 / 10
+#: A lexicon that cannot have more terms than this is broadcast.
+BROADCAST_TERMS = 20_000_000
 #: Hex digits of a signature; an empty one is dashes.
-DIGITS = 8
-EMPTY = "-" * DIGITS
+DIGITS = 4
+NO_ID = -(1 << 63)
+KEY = ["_a", "_b"]
 
 
 def terms(text: Column) -> Column:
@@ -48,87 +49,85 @@ def subsets(term: Column) -> list[Column]:
     return [F.pmod(F.pmod(term, F.lit(SUBSETS)) + step * k, F.lit(SUBSETS)) for k in range(TIMES)]
 
 
-def lexicon_terms(rows: DataFrame, n_texts: int) -> DataFrame:
-    """rows (term, own, counts: whether this row is one of a distinct text) whose term lies in the band of document frequency. It reads rows twice."""
-    most = max(MAX_LEAST, int(MAX_SHARE * n_texts))
-    frequency = stored(rows.where("own AND counts").groupBy("term").agg(F.count("*").alias("_n")).where(F.col("_n") >= MIN_DOCUMENTS))
-    band = frequency.where(F.col("_n") <= most).select(F.col("term").alias("_term"))
-    if band.count() <= BROADCAST_TERMS:
-        return rows.join(F.broadcast(band), F.col("term") == F.col("_term"), "left_semi")
-    common = frequency.where(F.col("_n") > most).select(F.col("term").alias("_common"))
-    rest = rows.join(F.broadcast(common), F.col("term") == F.col("_common"), "left_anti")  # bounded, see above
-    return rest.join(band, F.col("term") == F.col("_term")).drop("_term")
+def lexicon(rows: DataFrame, n_texts: int) -> DataFrame:
+    """(_term) of the terms of rows (text) whose document frequency lies in the band."""
+    n = rows.select(F.explode(terms(F.col("text"))).alias("_term")).groupBy("_term").agg(F.count("*").alias("_n"))
+    return n.where((F.col("_n") >= max(MIN_DOCUMENTS, MIN_SHARE * n_texts)) & (F.col("_n") <= MAX_SHARE * n_texts)).select("_term")
 
 
-def signatures(found: DataFrame) -> DataFrame:
-    """(_id, _own, _changed) from rows (id, term, own, changed): by subset, the exclusive or of the hashes of a document's terms (null: no terms)."""
-    numbered = found.select("id", "term", "own", "changed", F.explode(F.array(*subsets(F.col("term")))).alias("subset"))
-    side = lambda c: F.bit_xor(F.when(F.col(c), F.xxhash64("term", "subset")))
-    each = numbered.groupBy("id", "subset").agg(side("own").alias("own"), side("changed").alias("changed"))
-    listed = each.groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("subset").cast("int"), F.struct("own", "changed")))).alias("_of"))
-    at = lambda c: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.try_element_at("_of", k)[c])
-    return listed.select("_id", at("own").alias("_own"), at("changed").alias("_changed"))
+def signatures(found: DataFrame, band: DataFrame, sides: list[str], keys: list[str]) -> DataFrame:
+    """(keys, sides) from rows (keys, term, sides: whether the term is one of that side): by side an array of signatures by subset, null where the side has no terms of it; rows without any are missing."""
+    numbered = found.join(band, F.col("term") == F.col("_term"), "left_semi").select(*keys, "term", *sides, F.explode(F.array(*subsets(F.col("term")))).alias("subset"))
+    each = numbered.groupBy(*keys, "subset").agg(*[F.bit_xor(F.when(F.col(s), F.xxhash64("term", "subset"))).alias(s) for s in sides])
+    short = lambda x: F.shiftright(F.xxhash64(x), 48).cast("short")
+    each = each.select(*keys, F.col("subset").cast("int").alias("subset"), *[F.when(F.col(s).isNotNull(), short(F.col(s))).alias(s) for s in sides])
+    listed = each.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("subset", F.struct(*sides)))).alias("_of"))
+    at = lambda s: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.try_element_at("_of", k)[s])
+    some = lambda s: F.when(F.exists(F.map_values("_of"), lambda x: x[s].isNotNull()), at(s))
+    return listed.select(*keys, *[some(s).alias(s) for s in sides])
 
 
-def fingerprint(own: Column, whole: Column) -> Column:
-    """Each subset's signature (null: none), one after the other; whole: a hash of the text, for documents without lexicon terms."""
-    one = lambda x: F.when(x.isNull(), F.lit(EMPTY)).otherwise(F.substring(hexed(F.xxhash64(x)), 1, DIGITS))
-    some = F.exists(F.coalesce(own, F.array().cast("array<bigint>")), lambda x: x.isNotNull())
-    return F.when(some, F.array_join(F.transform(own, one), "")).otherwise(F.concat(F.lit("="), hexed(whole)))
+def fingerprint(signed: Column, whole: Column) -> Column:
+    """Each subset's signature, one after the other; of a document without lexicon terms, a hash of its text."""
+    hexed = lambda x, n: F.lpad(F.lower(F.hex(x)), n, "0")
+    one = lambda x: F.when(x.isNull(), "-" * DIGITS).otherwise(hexed(F.pmod(x.cast("int"), F.lit(1 << 16)), DIGITS))
+    return F.when(signed.isNull(), F.concat(F.lit("="), hexed(whole, 16))).otherwise(F.array_join(F.transform(signed, one), ""))
 
 
-def hexed(number: Column) -> Column:
-    return F.lpad(F.lower(F.hex(number)), 16, "0")
-
-
-def likeness(a: Column, b: Column) -> Column:
+def likeness(a: Column, b: Column, whole_a: Column, whole_b: Column) -> Column:
     """The share of subsets with equal signatures, among those that either document has terms of; 1 for equal fingerprints."""
-    at = lambda c, k: F.substring(c, k * DIGITS + 1, F.lit(DIGITS))
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: F.struct(at(a, k).alias("a"), at(b, k).alias("b")))
-    either = F.filter(pairs, lambda x: (x["a"] != EMPTY) | (x["b"] != EMPTY))
-    alike = F.size(F.filter(either, lambda x: x["a"] == x["b"])) / F.greatest(F.size(either), F.lit(1))
-    return F.when(a == b, F.lit(1.0)).when(a.startswith("=") | b.startswith("="), F.lit(0.0)).otherwise(F.round(alike, 4))
-
-
-def with_next(sizes: DataFrame) -> DataFrame:
-    """sizes (id, n_chars) with next_id, the first id after the last one. In ranges of ids: a task sees its range, and one row of each other."""
-    ranges = stored(sizes.repartitionByRange("id").withColumn("_range", F.spark_partition_id()))
-    firsts = ranges.groupBy("_range").agg(F.min("id").alias("_first"))  # a row for each partition
-    heads = firsts.withColumn("_next_first", F.lead("_first").over(Window.orderBy("_range"))).crossJoin(F.broadcast(firsts.agg(F.min("_first").alias("_wrap"))))
-    inner = ranges.withColumn("_inside", F.lead("id").over(Window.partitionBy("_range").orderBy("id")))
-    joined = inner.join(F.broadcast(heads.select("_range", F.coalesce("_next_first", "_wrap").alias("_after"))), "_range")
-    return stored(joined.select("id", "n_chars", F.coalesce("_inside", "_after").alias("next_id")))
+    both = F.filter(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: x["a"].isNotNull() | x["b"].isNotNull())
+    alike = F.size(F.filter(both, lambda x: x["a"] == x["b"])) / F.greatest(F.size(both), F.lit(1))
+    return F.when(a.isNull() & b.isNull(), F.when(whole_a == whole_b, 1.0).otherwise(0.0)).when(a.isNull() | b.isNull(), 0.0).otherwise(F.round(alike, 4))
 
 
-def with_edited(docs: DataFrame, order: DataFrame) -> DataFrame:
-    """(id, n_chars, next_id, text, edited): the last half of the text replaced by as much of the next document's beginning."""
-    needed = order.select(F.col("next_id").alias("_from"), F.col("id").alias("_to"), F.col("n_chars"), F.floor(F.col("n_chars") / 2).cast("int").alias("_need"))
-    heads = docs.join(needed, F.col("id") == F.col("_from")).select("_to", F.col("_from").alias("next_id"), "n_chars", "_need", F.expr("substring(text, 1, _need)").alias("_head"))
-    whole = docs.join(heads, F.col("id") == F.col("_to"))
-    return whole.select("id", "n_chars", "next_id", "text", F.expr("concat(substring(text, 1, int(n_chars) - _need), _head)").alias("edited"))
+def ordered(rows: DataFrame) -> DataFrame:
+    """rows (_a, _b, n_chars: one a document) with the key and length of the document before each: of the first, of the last one. In ranges of keys: a task sees its range, and one row of each other."""
+    ranges = stored(rows.repartitionByRange(*KEY).withColumn("_range", F.spark_partition_id()))
+    row = F.struct(*KEY, "n_chars")
+    lasts = ranges.groupBy("_range").agg(F.max(row).alias("_last"))  # a row for each partition
+    heads = lasts.withColumn("_prior", F.lag("_last").over(Window.orderBy("_range"))).crossJoin(F.broadcast(lasts.agg(F.max("_last").alias("_wrap"))))
+    inner = ranges.withColumn("_inside", F.lag(row).over(Window.partitionBy("_range").orderBy(*KEY)))
+    joined = inner.join(F.broadcast(heads.select("_range", F.coalesce("_prior", "_wrap").alias("_before"))), "_range")
+    before = F.coalesce("_inside", "_before")
+    return joined.select(*KEY, "n_chars", "_times", before["_a"].alias("_to_a"), before["_b"].alias("_to_b"), F.floor(before["n_chars"] / 2).cast("int").alias("_need"))
 
 
 def imatch_with_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every document."""
-    docs = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    order = with_next(docs.groupBy("id").agg(F.max(F.char_length("text").cast("long")).alias("n_chars")))
-    if not docs.groupBy("id").count().where("count > 1").isEmpty():
-        docs = docs.groupBy("id").agg(F.max(F.struct(F.char_length("text").alias("n"), "text")).alias("_most")).select("id", "_most.text")
-    both = with_edited(docs, order)
-    rows = once(both, {"edited_sha256": F.sha2("edited", 256), "_whole": F.xxhash64("text"), "_edited_whole": F.xxhash64("edited"), "_terms": terms(F.col("text")), "_edited_terms": terms(F.col("edited"))}).drop("text", "edited")
-    a, b = F.col("_terms"), F.col("_edited_terms")
-    rows = stored(rows.withColumns({"_both": F.array_intersect(a, b), "_lost": F.array_except(a, b), "_new": F.array_except(b, a)}).drop("_terms", "_edited_terms"))
-    firsts = stored(rows.groupBy("_whole", "n_chars").agg(F.min("id").alias("_first")).select("_first"))  # one id of each distinct text
-    counted = rows.join(firsts, F.col("id") == F.col("_first"), "left")
+    body = F.coalesce(F.col(text), F.lit(""))
+    docs = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("_a"), F.xxhash64(body).alias("_b"), body.alias("text"))
+    sizes = docs.groupBy(*KEY).agg(F.max(F.char_length("text").cast("long")).alias("n_chars"), F.count("*").alias("_times"))
+    order = ordered(sizes)
+    firsts = order.groupBy(F.col("_b").alias("_text")).agg(F.min("_a").alias("_first"))  # one document of each distinct text
+    order = order.join(firsts, (F.col("_b") == F.col("_text")) & (F.col("_a") == F.col("_first")), "left").withColumn("_counts", F.col("_first").isNotNull()).drop("_text", "_first")
+    order = stored(order)
+    n_texts, n_chars, most = order.agg(F.count_if("_counts"), F.coalesce(F.sum(F.when(F.col("_counts"), F.col("n_chars"))), F.lit(0)), F.max("_times")).first()
+    if (most or 1) > 1:
+        docs = docs.dropDuplicates(KEY)
+    docs = docs.repartition(*KEY)  # the one exchange of texts; all that follows reads it
+    known = docs.join(order.hint("shuffle_hash"), KEY)
+    band = lexicon(known.where("_counts"), n_texts)
+    if n_chars / 2 / max(n_texts, 1) / MIN_SHARE <= BROADCAST_TERMS:
+        band = F.broadcast(band)
+    target = [F.col("_to_a").alias("_a"), F.col("_to_b").alias("_b")]
+    heads = known.select(*target, F.expr("substring(text, 1, _need)").alias("_head"))
+    nexts = known.select(*KEY, "_to_a", "_to_b", F.explode(terms(F.col("text"))).alias("term"), F.lit(True).alias("_next"))
+    nexts = signatures(nexts, band, ["_next"], [*KEY, "_to_a", "_to_b"]).select(*target, "_next")
+    edited = docs.join(heads.hint("shuffle_hash"), KEY)
+    edited = edited.select(*KEY, "text", F.char_length("text").cast("long").alias("n_chars"), F.concat(F.expr("substring(text, 1, char_length(text) - int(floor(char_length(text) / 2)))"), "_head").alias("edited"))
+    digests = edited.select(*KEY, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.xxhash64("edited").alias("_edited_b"))
+    lists = once(edited, {"_own": terms(F.col("text")), "_changed": terms(F.col("edited"))}).select(*KEY, "_own", "_changed")
     sided = lambda c, own, changed: F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(own).alias("own"), F.lit(changed).alias("changed")))
-    listed = F.concat(sided("_both", True, True), sided("_lost", True, False), sided("_new", False, True))
-    found = lexicon_terms(counted.select("id", F.col("_first").isNotNull().alias("counts"), F.inline(listed)), firsts.count())
-    marked = rows.drop("_both", "_lost", "_new").join(signatures(found), F.col("id") == F.col("_id"), "left")
-    marked = once(marked, {"fingerprint": fingerprint(F.col("_own"), F.col("_whole")), "edited_fingerprint": fingerprint(F.col("_changed"), F.col("_edited_whole"))}).select("id", "n_chars", "next_id", "edited_sha256", "fingerprint", "edited_fingerprint")
-    marked = stored(marked)
-    after = marked.select(F.col("id").alias("_next"), F.col("fingerprint").alias("_next_fingerprint"))
-    paired = marked.join(after, F.col("next_id") == F.col("_next"))
-    return paired.select("id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("_next_fingerprint")).alias("near_next"))
+    listed = F.concat(sided(F.array_intersect("_own", "_changed"), True, True), sided(F.array_except("_own", "_changed"), True, False), sided(F.array_except("_changed", "_own"), False, True))
+    signed = signatures(lists.select(*KEY, F.inline(listed)), band, ["own", "changed"], KEY)
+    after = order.select(*target, F.col("_b").alias("_next_b"))
+    rows = digests.join(order.select(*KEY, "_times"), KEY).join(after, KEY).join(signed, KEY, "left").join(nexts, KEY, "left")
+    own, changed = F.col("own"), F.col("changed")
+    return rows.select(
+        F.nullif("_a", F.lit(NO_ID)).alias("id"), "n_chars", "edited_sha256", fingerprint(own, F.col("_b")).alias("fingerprint"), fingerprint(changed, F.col("_edited_b")).alias("edited_fingerprint"),
+        likeness(own, changed, F.col("_b"), F.col("_edited_b")).alias("near_edited"), likeness(own, F.col("_next"), F.col("_b"), F.col("_next_b")).alias("near_next"), F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))),
+    ).drop("col")
 
 
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

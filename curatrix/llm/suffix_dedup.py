@@ -324,7 +324,7 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     names = [f"c{k}" for k in range(len(rest))]  # columns of docs may have any names
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rest, names, strict=True)], F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = in_blocks(rows, "id", "text")
-    n = partitions(docs)
+    n = max(1, partitions(docs) // 2)  # shards of a kind: contents, minimizers, bytes
     first = at_shards(from_blocks(rows, introduce(length, n)), 2 * n, compare(n))
     second = at_shards(back_in_blocks(rows, first, supply(length, n), MESSAGE), n, previous_factors(length))
     out = T.StructType([*rows.select(*names).schema.fields, *[T.StructField(k, v) for k, v in made.items()]])

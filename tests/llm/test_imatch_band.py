@@ -15,17 +15,17 @@ def brute(texts, spark):
     words = [set(t.lower().split()) for t in texts]
     counted = Counter(w for own in {t: set(t.lower().split()) for t in texts}.values() for w in own)
     n = len(set(texts))
-    band = sorted(w for w, k in counted.items() if 2 <= k <= max(20, int(0.02 * n)))
+    band = sorted(w for w, k in counted.items() if max(2, n / 2000) <= k <= n / 10)
     table = spark.createDataFrame([(w,) for w in band], "w string")
     hashed = {r["w"]: r["h"] for r in table.selectExpr("w", "xxhash64(w) AS h").collect()}
-    takes = {w: {h % 32, (h % 32 + (h >> 16) % 31 + 1) % 32} for w, h in hashed.items()}
-    parts = lambda own: [frozenset(w for w in own if k in takes.get(w, ())) for k in range(32)]
+    takes = {w: {h % 128, (h % 128 + (h >> 16) % 127 + 1) % 128} for w, h in hashed.items()}
+    parts = lambda own: [frozenset(w for w in own if k in takes.get(w, ())) for k in range(128)]
 
     def likeness(s, t):
         x, y = parts(set(s.lower().split())), parts(set(t.lower().split()))
         if not any(x) or not any(y):
             return float(s == t)
-        either = [k for k in range(32) if x[k] or y[k]]
+        either = [k for k in range(128) if x[k] or y[k]]
         return round(sum(x[k] == y[k] for k in either) / len(either), 4)
 
     out = []
@@ -38,7 +38,7 @@ def brute(texts, spark):
 @pytest.mark.parametrize("size", [6, 60])
 def test_likeness_matches_brute_force(spark, size):
     rng = random.Random(size)
-    texts = [" ".join(f"w{rng.randrange(30 * size)}" for _ in range(size)) for _ in range(80)]
+    texts = [" ".join(f"w{rng.randrange(15 * size)}" for _ in range(size)) for _ in range(80)]
     texts[11], texts[12] = texts[10] + " also", texts[10]
     want, band, words = brute(texts, spark)
     assert sum(bool(w & band) for w in words) > 70
@@ -51,7 +51,7 @@ def test_likeness_matches_brute_force(spark, size):
 def test_copies_keep_their_terms(spark, most, monkeypatch):
     monkeypatch.setattr(imatch, "BROADCAST_TERMS", most)  # 0: the lexicon is joined by a shuffle
     base = " ".join(f"c{k}" for k in range(40))
-    texts = [base] * 50 + [base + " end"] + [f"u{k} v{k} w{k}" for k in range(49)]
+    texts = [base] * 50 + [base + " end"] + [f"u{k} v{k} w{k // 3}" for k in range(49)]
     want, *_ = brute(texts, spark)
     got = {r["id"]: r for r in imatch.imatch_with_edits(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
     assert got[49]["near_next"] == want[49][1] == 1.0 and not got[0]["fingerprint"].startswith("=")

@@ -291,17 +291,20 @@ def test_quality(spark, docs, empty):
     assert quality.quality_filter(empty).count() == 0
 
 
-def test_imatch(docs, empty):
-    got = {r["id"]: r for r in imatch.imatch_with_edits(docs).collect()}
-    rows = sorted({r[0]: r[1] or "" for r in documents() if r[0] is not None}.items())
-    assert set(got) == {i for i, _ in rows}
-    for k, (i, text) in enumerate(rows):
-        after = rows[(k + 1) % len(rows)]
+def test_imatch(spark, docs, empty):
+    """Every row's text and edited text; null ids come first, rows of one id by their texts' hashes, equal rows are one document."""
+    rows = {(-(1 << 63) if r[0] is None else r[0], r[1] or "") for r in documents()}
+    hashed = {r["t"]: r["h"] for r in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) AS h").collect()}
+    order = sorted(rows, key=lambda r: (r[0], hashed[r[1]]))
+    edited = {}
+    for k, (i, text) in enumerate(order):
         half = len(text) // 2
-        edited = text[: len(text) - half] + after[1][:half]
-        assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert (got[i]["near_next"] == 1.0) == (got[i]["fingerprint"] == got[after[0]]["fingerprint"])
-    assert got[20]["fingerprint"] == got[21]["fingerprint"] == got[3]["fingerprint"] and got[40]["fingerprint"] == got[41]["fingerprint"]
+        edited[i, text] = (len(text), hashlib.sha256((text[: len(text) - half] + order[(k + 1) % len(order)][1][:half]).encode()).hexdigest())
+    want = [(r[0], *edited[-(1 << 63) if r[0] is None else r[0], r[1] or ""]) for r in documents()]
+    got = imatch.imatch_with_edits(docs.withColumns({"_a": F.lit(1), "term": F.lit("x"), "fingerprint": F.lit(0)})).collect()
+    assert multiset((r["id"], r["n_chars"], r["edited_sha256"]) for r in got) == multiset(want)
+    named = {r["id"]: r["fingerprint"] for r in got}
+    assert named[20] == named[21] == named[3] and named[40] == named[41]
     assert imatch.imatch_with_edits(empty).count() == 0
 
 
