@@ -1,12 +1,13 @@
 """Text normalisation as Column functions.
 
 Everything is a native expression but Unicode normal forms, percent-decoding and byte repair, which Spark lacks: those
-are Arrow UDFs, called only on the rows that need them (`only_where`). Blank and null are the same throughout: "".
+are Arrow UDFs, which get null for the rows that do not need them (`only_where`) and skip these. Blank and null are the same throughout: "".
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
@@ -26,7 +27,17 @@ NOISE_WORDS = ("official", "video", "lyric", "tutorial", "channel", "hd", "4k",
 ARTIST_NOISE = ("actual life", "junos 365 sessions", "disney channel animation", "volume ", "official", "topic")
 EDITIONS = "radio edit|edit|live|remaster(?:ed)?|remix|acoustic|instrumental|mono|stereo"
 MOJIBAKE = ("Ã", "Â", "ðŸ", "ï¿½")
+#: Patterns of the keys and of the cleaning of titles and artists, in the order they apply.
 GUEST = r"\b(feat|featuring|ft)\.?\b.*$"
+ANY_BRACKETS = r"\([^)]*\)|\[[^\]]*\]"
+FUZZY_STEPS = ((GUEST, ""), (r"\[[^\]]*\]", " "), (rf"\([^)]*(?:{'|'.join(NOISE_WORDS)})[^)]*\)", " "), (r"\(([^)]*)\)", " $1 "), (r"\b(the|a|an)\b", " "), ("[^a-z0-9]+", " "))
+CORE_STEPS = ((rf"\s*[-–—]\s*(?:{EDITIONS})\b.*$", ""), (rf"\s*\(([^)]*(?:{EDITIONS})[^)]*)\)", " "), (rf"\s*\[[^\]]*(?:{EDITIONS})[^\]]*\]", " "), ("&", " and "))
+TITLE_WORDS = "official|video|lyric|channel|topic|hd|4k|audio|preview"
+TITLE_STEPS = ((rf"(?i)\s*\[[^\]]*(?:{TITLE_WORDS})[^\]]*\]", ""), (rf"(?i)\s*\(([^)]*(?:{TITLE_WORDS})[^)]*)\)", ""), (r"(?i)\s*[-–—]\s*(?:official|video|lyric|audio)\b.*$", ""), (r"(?i)\s*\|\s*(?:official|video|lyric|audio|channel|topic).*$", ""), (r"\s+\#\S+.*$", ""))
+ARTIST_STEPS = ((r"\s*\|\s*.*$", ""), (r"(?i)\s*\(.*?(?:official|video|channel|topic|music|remix).*$", ""), (r"(?i)\s+(?:actual life|junos 365 sessions|disney channel animation|volume \d+|official|topic).*$", ""))
+LIST_STEPS = ((r"[\p{So}\x{1F000}-\x{1FAFF}\x{FE0F}]", ""), (r"(?i)^(?:\d{1,3}|[IVXLCDM]+)\s*\.\s*", ""), (r"^[-*|_~]\s*", ""), (r"(?i)^Songs Like\s+", ""))
+#: White space: what Unicode says, and the four separators U+001C to U+001F.
+BLANKS = r"\s\x{1C}-\x{1F}"
 
 
 def text_of(c: Column) -> Column:
@@ -35,7 +46,7 @@ def text_of(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """Runs of any Unicode space become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(text_of(c), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text_of(c), rf"(?U)[{BLANKS}]+", " "))
 
 
 def is_blank(c: Column) -> Column:
@@ -61,29 +72,43 @@ def replaced(c: Column, *steps: tuple[str, str]) -> Column:
     return reduce(lambda x, s: F.regexp_replace(x, s[0], s[1]), steps, c)
 
 
-def only_where(condition: Column, special: Column, plain: Column) -> Column:
-    """special where the condition holds, else plain."""
-    return F.when(condition, special).otherwise(plain)
+def only_where(condition: Column, change: Callable[[Column], Column], plain: Column) -> Column:
+    """plain, changed by a UDF where the condition holds. The UDF gets null for all other rows."""
+    return F.coalesce(change(F.when(condition, plain)), plain)
+
+
+def changed(values: pd.Series, change: Callable[[str], str]) -> pd.Series:
+    """The values that are there, changed."""
+    some = values.notna()
+    if some.any():
+        values = values.astype(object)
+        values[some] = [change(v) for v in values[some]]
+    return values
 
 
 @F.pandas_udf(T.StringType())
 def _percent_decoded(values: pd.Series) -> pd.Series:
-    return values.map(unquote, na_action="ignore")
+    return changed(values, unquote)
 
 
 @F.pandas_udf(T.StringType())
 def _composed(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
+    return changed(values, lambda v: unicodedata.normalize("NFKC", v))
 
 
 @F.pandas_udf(T.StringType())
 def _decomposed(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKD", v), na_action="ignore")
+    return changed(values, lambda v: unicodedata.normalize("NFKD", v))
 
 
 @F.pandas_udf(T.StringType())
 def _latin1_read_as_utf8(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: v.encode("latin-1", "ignore").decode("utf-8", "ignore"), na_action="ignore")
+    return changed(values, lambda v: v.encode("latin-1", "ignore").decode("utf-8", "ignore"))
+
+
+@F.pandas_udf(T.StringType())
+def _searched(values: pd.Series) -> pd.Series:
+    return changed(values, searched)
 
 
 def has_non_ascii(c: Column) -> Column:
@@ -94,17 +119,16 @@ def display_text(c: Column) -> Column:
     """Text as it should show: percent escapes decoded (but in urls), typographic characters simplified, compatibility forms composed, invisible characters dropped, spaces collapsed."""
     t = text_of(c)
     escaped = t.rlike(r"%[0-9A-Fa-f]{2}") & ~t.rlike(r"(?i)^[a-z][a-z0-9+.-]*://")
-    t = only_where(escaped, _percent_decoded(t), t)
+    t = only_where(escaped, _percent_decoded, t)
     t = F.translate(t, SPACES + APOSTROPHES + QUOTES + DASHES + TILDES, " " * len(SPACES) + "'" * len(APOSTROPHES) + '"' * len(QUOTES) + "-" * len(DASHES) + "~" * len(TILDES))
-    t = only_where(has_non_ascii(t), _composed(t), t)
+    t = only_where(has_non_ascii(t), _composed, t)
     return clean(F.regexp_replace(t, r"[\p{Cf}\p{Cc}&&[^\t\n\r]]", ""))
 
 
 def match_text(c: Column) -> Column:
-    """Text as it compares: decomposed, without marks and symbols but . , and -, spaces collapsed, lower case."""
+    """Text as it compares: decomposed, without marks and symbols but . , and -, spaces collapsed, lower case. Other than ASCII text goes by Python's Unicode tables (`searched`), which may know more letters than the JVM's."""
     t = text_of(c)
-    t = only_where(has_non_ascii(t), _decomposed(t), t)
-    return F.lower(clean(F.regexp_replace(t, r"(?U)[^\p{L}\p{N}_\s.,-]", "")))
+    return F.coalesce(_searched(F.when(has_non_ascii(t), t)), F.lower(clean(F.regexp_replace(t, rf"[^A-Za-z0-9_{BLANKS}.,-]", ""))))
 
 
 def match_artist(c: Column) -> Column:
@@ -117,7 +141,7 @@ def search_text(c: Column) -> Column:
 
 def ascii_folded(c: Column) -> Column:
     """Decomposed, with everything outside ASCII dropped."""
-    return F.regexp_replace(only_where(has_non_ascii(c), _decomposed(c), c), r"[^\x00-\x7F]", "")
+    return F.regexp_replace(only_where(has_non_ascii(c), _decomposed, c), r"[^\x00-\x7F]", "")
 
 
 def spaced_key(c: Column, *, apostrophes: bool = False, fold: bool = False, guests: bool = False, brackets: bool = False, article: bool = False) -> Column:
@@ -126,7 +150,7 @@ def spaced_key(c: Column, *, apostrophes: bool = False, fold: bool = False, gues
     t = F.regexp_replace(t, "[’‘`']", "") if apostrophes else t
     t = ascii_folded(t) if fold else t
     t = F.regexp_replace(t, GUEST, "") if guests else t
-    t = F.regexp_replace(t, r"\([^)]*\)|\[[^\]]*\]", " ") if brackets else t
+    t = F.regexp_replace(t, ANY_BRACKETS, " ") if brackets else t
     t = F.regexp_replace(t, r"\bthe\b", " ") if article else t
     return F.trim(F.regexp_replace(t, r"[^a-z0-9]+", " "))
 
@@ -162,30 +186,27 @@ def compact_artist(c: Column) -> Column:
 def fuzzy_key(c: Column) -> Column:
     """For similarity: brackets with noise words dropped, other brackets opened, articles dropped."""
     t = F.replace(F.replace(F.lower(clean(c)), F.lit("&"), F.lit(" and ")), F.lit("’"), F.lit("'"))
-    noise = "|".join(NOISE_WORDS)
-    return F.trim(replaced(t, (GUEST, ""), (r"\[[^\]]*\]", " "), (rf"\([^)]*(?:{noise})[^)]*\)", " "), (r"\(([^)]*)\)", " $1 "), (r"\b(the|a|an)\b", " "), ("[^a-z0-9]+", " ")))
+    return F.trim(replaced(t, *FUZZY_STEPS))
 
 
 def title_core(c: Column) -> Column:
     """A title without edition suffixes."""
-    t = replaced(F.lower(clean(c)), (rf"\s*[-–—]\s*(?:{EDITIONS})\b.*$", ""), (rf"\s*\(([^)]*(?:{EDITIONS})[^)]*)\)", " "), (rf"\s*\[[^\]]*(?:{EDITIONS})[^\]]*\]", " "), ("&", " and "))
-    return F.trim(F.regexp_replace(t, "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(replaced(F.lower(clean(c)), *CORE_STEPS), "[^a-z0-9]+", " "))
 
 
 def clean_title(c: Column) -> Column:
     """A title without what video sites add."""
-    words = "official|video|lyric|channel|topic|hd|4k|audio|preview"
-    return clean(replaced(clean(c), (rf"(?i)\s*\[[^\]]*(?:{words})[^\]]*\]", ""), (rf"(?i)\s*\(([^)]*(?:{words})[^)]*)\)", ""), (r"(?i)\s*[-–—]\s*(?:official|video|lyric|audio)\b.*$", ""), (r"(?i)\s*\|\s*(?:official|video|lyric|audio|channel|topic).*$", ""), (r"\s+\#\S+.*$", "")))
+    return clean(replaced(clean(c), *TITLE_STEPS))
 
 
 def clean_artist(c: Column) -> Column:
     """An artist without what video sites add."""
-    return clean(replaced(clean(c), (r"\s*\|\s*.*$", ""), (r"(?i)\s*\(.*?(?:official|video|channel|topic|music|remix).*$", ""), (r"(?i)\s+(?:actual life|junos 365 sessions|disney channel animation|volume \d+|official|topic).*$", "")))
+    return clean(replaced(clean(c), *ARTIST_STEPS))
 
 
 def clean_list_artist(c: Column) -> Column:
     """An artist without the numbering, bullet or emoji of a list."""
-    return clean(replaced(clean(c), (r"[\p{So}\x{1F000}-\x{1FAFF}\x{FE0F}]", ""), (r"(?i)^(?:\d{1,3}|[IVXLCDM]+)\s*\.\s*", ""), (r"^[-*|_~]\s*", ""), (r"(?i)^Songs Like\s+", "")))
+    return clean(replaced(clean(c), *LIST_STEPS))
 
 
 def artist_without_title(artist: Column, title: Column) -> Column:
@@ -201,7 +222,7 @@ def lead_artist(c: Column) -> Column:
 
 def repaired(c: Column) -> Column:
     """UTF-8 that was once read as Latin-1, read again; text without such marks is left alone."""
-    return only_where(looks_mojibake(c), _latin1_read_as_utf8(text_of(c)), text_of(c))
+    return only_where(looks_mojibake(c), _latin1_read_as_utf8, text_of(c))
 
 
 def looks_mojibake(c: Column) -> Column:

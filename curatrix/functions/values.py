@@ -42,7 +42,8 @@ def duration_from_ms(ms: Column, *, floor: bool = False) -> Column:
 def compact_duration(c: Column) -> Column:
     """m:ss without leading zeros; other text as its song key."""
     t = clean(c)
-    return F.when(t.rlike(r"^\d+:\d{2}\z"), F.concat(F.regexp_extract(t, r"^(\d+)", 1).try_cast("bigint").cast("string"), F.lit(":"), F.regexp_extract(t, r":(\d{2})\z", 1))).otherwise(song_key(t))
+    timed = t.rlike(r"^\d+:\d{2}\z")
+    return F.when(timed, F.concat(F.regexp_extract(t, r"^(\d+)", 1).try_cast("bigint").cast("string"), F.lit(":"), F.regexp_extract(t, r":(\d{2})\z", 1))).otherwise(song_key(F.when(~timed, t)))
 
 
 def numeric_string(c: Column) -> Column:

@@ -39,6 +39,21 @@ def test_sql_functions_agree_with_columns(spark, rows):
     assert over(spark, clean, text.match_text(F.col("s"))) == [text.searched(r) for r in clean]
 
 
+def test_separators_are_white_space(spark):
+    rows = ["0\x1f0", "a\x1cb", " \x1d\x1e x", "\U00031350 É"]  # the last has a letter newer than some JVMs
+    assert over(spark, rows, text.match_text(F.col("s"))) == ["0 0", "a b", "x", "\U00031350 e"]
+    assert over(spark, rows[:3], text.clean(F.col("s"))) == ["0 0", "a b", "x"]
+
+
+def test_udfs_see_only_the_rows_that_need_them():
+    import pandas as pd
+
+    seen = []
+    got = text.changed(pd.Series([None, "é", None]), lambda v: seen.append(v) or "e")
+    assert seen == ["é"] and got.tolist() == [None, "e", None]
+    assert text.changed(pd.Series([None, None]), seen.append).isna().all() and seen == ["é"]
+
+
 def test_song_keys(spark):
     assert over(spark, ["The Song (Live) feat. X", "Rock & Roll", "Don't Stop", "Café [Demo]"], text.song_key(F.col("s"))) == ["song", "rock and roll", "dont stop", "cafe"]
     assert over(spark, ["The Song (Live)"], text.merge_key(F.col("s"))) == ["song live"]
