@@ -176,10 +176,14 @@ def of_pages(pages: DataFrame) -> DataFrame:
 
 
 def language_filter(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with the columns of docs."""
-    judged = fused(of_documents(docs).drop("page_id"), docs)
-    rejected = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col("_id"), "left_anti")
+    """The rows that are kept, with the columns of docs. Text, source and lang decide, so a row's verdict is that of its own text, whatever rows share its id."""
+    names = [f"c{k}" for k in range(len(docs.columns))]  # columns of docs may have any names
+    at = dict(zip(docs.columns, names, strict=True))
+    text, source, lang, id_column = (F.col(at[c]) for c in ("text", "source", "lang", "doc_id"))
+    rows = docs.toDF(*names).withColumn("key", F.xxhash64(id_column, text, source, lang))
+    judged = fused(rows.select("key", id_column.cast("long").alias("id"), text.alias("body"), source.alias("host"), lang.alias("declared"), F.lit(None).cast("string").alias("suffix")), rows.select(text.alias("text"), lang.alias("lang")))
+    rejected = judged.where(~F.col("kept")).select(F.col("key").alias("_key"), F.col("id").alias("_id")).distinct()
+    return rows.join(rejected, (F.col("key") == F.col("_key")) & id_column.cast("long").eqNullSafe(F.col("_id")), "left_anti").drop("key").toDF(*docs.columns)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-SimHash at op2's two bits finds no such pair, and a SimHash distance wide enough for them (about 7 bits of 64 on
-average, 12 and more for some) has too many chance neighbours; so candidates come from min-hashes. A node is a distinct
-set of shingles; BANDS keys of ROWS min-hashes each are made for it, and nodes with a key in common are candidates. A
-pair at similarity s shares a key with chance 1 - (1 - s^ROWS)^BANDS: 0.9997 at 0.8, 0.03 a key at 0.5. Every link is
+A node is a distinct set of shingles. Candidates come from two places: nodes whose five-word SimHash fingerprints are linked by
+their Golay keys (`simhash`), and nodes that share one of BANDS keys of ROWS min-hashes each. The first finds copies with tiny
+edits; at similarity 0.8 fingerprints differ by 7 to 10 bits of 64, and Golay keys for so many would need several hundred a text, while
+a pair at similarity s shares a min-hash key with chance 1 - (1 - s^ROWS)^BANDS: 0.9997 at 0.8. Every link is
 verified by exact Jaccard over the sets themselves, and links are joined into components.
 
 Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, twice as many
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .blocks import chunks, mixed, texts, word_spans
 from .common import stored
-from .simhash import components, xxh64_spans
+from .simhash import components, fingerprints, with_keys, with_links, xxh64_spans
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
@@ -85,17 +85,19 @@ def per_text(batch: pa.RecordBatch):
 
 
 def with_sketches(rows: DataFrame) -> DataFrame:
-    """rows (_row, text, _id, _text_hash) as (_row, _id, _text_hash, node, keys)."""
+    """rows (_row, text, _id, _text_hash) as (_row, _id, _text_hash, node, fingerprint, keys)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            data, place = texts(batch.column(1))
             for lo, hi, h, at in per_text(batch):
                 node, keys = sketches(h, at)
+                prints = fingerprints(data[place[lo] : place[hi]], place[lo : hi + 1] - place[lo], SHINGLE)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.view(np.int64).reshape(-1)))
                 own = [batch.column(k).slice(lo, hi - lo) for k in (0, 2, 3)]
-                yield pa.RecordBatch.from_arrays([*own, pa.array(node.view(np.int64)), lists], ["_row", "_id", "_text_hash", "node", "keys"])
+                yield pa.RecordBatch.from_arrays([*own, pa.array(node.view(np.int64)), pa.array(prints.view(np.int64)), lists], ["_row", "_id", "_text_hash", "node", "fingerprint", "keys"])
 
-    return rows.select("_row", "text", "_id", "_text_hash").mapInArrow(work, "_row string, _id long, _text_hash long, node long, keys array<long>")
+    return rows.select("_row", "text", "_id", "_text_hash").mapInArrow(work, "_row string, _id long, _text_hash long, node long, fingerprint long, keys array<long>")
 
 
 def with_sets(rows: DataFrame) -> DataFrame:
@@ -129,18 +131,27 @@ def verified(pairs: DataFrame, sets: DataFrame, salts: int = 1) -> DataFrame:
     return both.select("a", "b", "_left", "_right").mapInArrow(alike, "a long, b long")
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Candidates (a, b) of nodes (node, fingerprint): each node with the least one of its fingerprint, and the least ones of linked fingerprints."""
+    least = stored(nodes.groupBy("fingerprint").agg(F.min("node").alias("_least")))
+    end = lambda side: least.select(F.col("fingerprint").alias(side), F.col("_least").alias(f"_{side}"))
+    near = with_links(with_keys(least)).join(end("a"), "a").join(end("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return near.unionByName(nodes.join(least, "fingerprint").where("node <> _least").select(F.col("_least").alias("a"), F.col("node").alias("b")))
+
+
 def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, label) of the nodes of sketched that have links. docs: (text, _text_hash)."""
     keyed = sketched.select("node", "keys").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
     buckets = stored(keyed.join(sizes, "key"))
-    chosen = buckets.select("node").distinct().join(sketched.groupBy("node").agg(F.min("_text_hash").alias("_hash")), "node")
+    similar = stored(fingerprint_pairs(sketched.select("node", "fingerprint").dropDuplicates(["node"])))
+    chosen = buckets.select("node").unionByName(similar.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(sketched.groupBy("node").agg(F.min("_text_hash").alias("_hash")), "node")
     found = docs.join(chosen, F.col("_text_hash") == F.col("_hash")).groupBy("node").agg(F.first("text").alias("text"))
     sets = stored(with_sets(found))
     small = buckets.where(F.col("_n") <= SMALL)
     listed = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("_all"))
     first = listed.select(F.posexplode("_all").alias("_at", "a"), "_all").select("a", F.explode(F.expr("slice(_all, _at + 2, size(_all))")).alias("b"))
-    links = stored(verified(first.distinct(), sets))
+    links = stored(verified(first.distinct(), sets).unionByName(verified(similar, sets, SALTS)))
     hot, most = stored(buckets.where(F.col("_n") > SMALL).select("key", "node")), 1
     labels = components(links)
     while not hot.isEmpty():
@@ -158,11 +169,12 @@ def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_copy_filter(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component of near copies, with the columns of docs."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*columns, F.sha2(F.to_json(F.struct(*columns)), 256).alias("_row"))
-    body = F.coalesce(F.col(text), F.lit(""))
-    sketched = stored(with_sketches(rows.select("_row", body.alias("text"), F.col(id_column).cast("long").alias("_id"), F.xxhash64(body).alias("_text_hash"))))
-    labels = near_components(sketched, docs.select(body.alias("text"), F.xxhash64(body).alias("_text_hash")))
+    names = [f"c{k}" for k in range(len(docs.columns))]  # columns of docs may have any names
+    at = dict(zip(docs.columns, names, strict=True))
+    rows = docs.toDF(*names).withColumn("_row", F.sha2(F.to_json(F.struct(*names)), 256))
+    body = F.coalesce(F.col(at[text]), F.lit(""))
+    sketched = stored(with_sketches(rows.select("_row", body.alias("text"), F.col(at[id_column]).cast("long").alias("_id"), F.xxhash64(body).alias("_text_hash"))))
+    labels = near_components(sketched, rows.select(body.alias("text"), F.xxhash64(body).alias("_text_hash")))
     grouped = sketched.join(labels, "node", "left").select("_row", "_id", F.coalesce("label", "node").alias("_label"))
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     kept = stored(grouped.groupBy("_label").agg(F.min(order).alias("_best")).select(F.col("_best._row").alias("_kept")))
@@ -171,4 +183,4 @@ def near_copy_filter(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     if not many.isEmpty():  # repeated rows: one of each
         again = out.join(many, F.col("_row") == F.col("_many"), "left_semi").dropDuplicates(["_row"])
         out = out.join(many, F.col("_row") == F.col("_many"), "left_anti").unionByName(again)
-    return out.select(*columns)
+    return out.select(*names).toDF(*docs.columns)

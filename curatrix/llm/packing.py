@@ -1,10 +1,11 @@
 """Best-fit packing of token sequences by linear grouping.
 
 Large pieces (over a share of the capacity, SMALL_SHARES) are put in order of length and cut into GROUPS groups of equal
-cardinality; within a group lengths are rounded up to the largest. With so few sizes, whole configurations (which
-sizes share a sequence) are optimised one after the other: the configuration that holds the largest size left and
-fills its sequence best, found by dynamic programming over sums, is used as often as the groups allow. Then the actual
-pieces take the slots of their group, and small pieces go best-fit into the room that is really left.
+cardinality; within a group lengths are rounded up to the largest. With so few sizes, the numbers of all configurations (which
+sizes share a sequence) are optimised together: the linear programme of fewest sequences that hold every size as often as it
+occurs, solved by column generation, whose next configuration is a knapsack over the sizes' dual prices. Whole numbers of these are
+used. Then the actual pieces take the slots of their group; the few large ones left over, and after them the small pieces, go best-fit
+into the room that is really left. Pieces of the whole capacity are sequences of their own and in no group.
 
 The plan needs only how many pieces there are of each length (capacity rows at most), so it is made on the driver at
 any corpus size; it says which range of the pieces of one length goes where. The pieces are numbered within their
@@ -29,9 +30,11 @@ from .common import stored, table
 from .encoders import vocabulary
 
 CAPACITY, END = 2048, 0
-GROUPS = 2048
+GROUPS = 48
 #: What counts as small, as shares of the capacity: the plan with fewest sequences is taken.
-SMALL_SHARES = (0.3, 0.5)
+SMALL_SHARES = (0.3, 0.4, 0.5)
+#: Pivots of the linear programme at most: every step has a whole plan, later ones fewer sequences.
+PIVOTS = 2000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -52,56 +55,86 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_column:
     return docs.select(F.col(id_column).cast("long"), F.col(text)).mapInArrow(work, "doc_id long, piece int, start long, length long, ids binary")
 
 
+def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Which sizes share a sequence (size's number -> how many), and in how many sequences, so that few hold all that is demanded. Rounded down: some of each size may be left."""
+    if not sizes:
+        return []
+    n, need = np.array(sizes), np.array(demand, float)
+    basis = np.diag(capacity // n).astype(float)  # a column for each configuration
+    for _ in range(PIVOTS):
+        prices = np.linalg.solve(basis.T, np.ones(len(n)))
+        best = fullest(n, prices, capacity)
+        if best @ prices <= 1 + 1e-7:
+            break
+        times, change = np.linalg.solve(basis, need), np.linalg.solve(basis, best)
+        some = np.flatnonzero(change > 1e-9)
+        basis[:, some[np.argmin(np.maximum(times[some], 0) / change[some])]] = best
+    times = np.floor(np.linalg.solve(basis, need) + 1e-6).astype(int)
+    return [({int(j): int(basis[j, k]) for j in np.flatnonzero(basis[:, k])}, int(times[k])) for k in range(len(n)) if times[k] > 0]
+
+
+def fullest(sizes: np.ndarray, prices: np.ndarray, capacity: int) -> np.ndarray:
+    """The configuration of highest price: a knapsack by dynamic programming, each size any number of times."""
+    value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    order = np.argsort(sizes)
+    by_size, gain = sizes[order], prices[order]
+    for c in range(int(by_size[0]), capacity + 1):
+        fit = int(np.searchsorted(by_size, c, "right"))
+        with_each = value[c - by_size[:fit]] + gain[:fit]
+        k = int(np.argmax(with_each))
+        value[c], last[c] = (with_each[k], k) if with_each[k] > value[c - 1] else (value[c - 1], -1)
+    use, c = np.zeros(len(sizes)), capacity
+    while c > 0:
+        if last[c] < 0:
+            c -= 1
+        else:
+            use[order[last[c]]] += 1
+            c -= int(by_size[last[c]])
+    return use
+
+
 class Plan:
     """Where pieces go, by their length and their number among the pieces of that length."""
 
-    def __init__(self, counts: dict[int, int], capacity: int = CAPACITY, small_share: float = SMALL_SHARES[0]):
+    def __init__(self, counts: dict[int, int], capacity: int = CAPACITY, small_share: float = SMALL_SHARES[0], groups: int = GROUPS):
         self.capacity, self.sequences = capacity, 0
         self.rows: list[tuple[int, int, int, int, int]] = []  # length, first number, how many, first sequence, offset
         self.room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # runs (first sequence, how many) by room left
         small = int(capacity * small_share)
-        self.large({n: c for n, c in counts.items() if n > small and c})
-        for n in sorted((n for n in counts if n <= small and counts[n]), reverse=True):
-            self.best_fit(n, counts[n])
+        left = self.large({n: c for n, c in counts.items() if n > small and c}, groups)
+        left += [(n, c, 0) for n, c in counts.items() if n <= small and c]
+        for n, count, first in sorted(left, reverse=True):
+            self.best_fit(n, count, first)
         lengths, first, _, sequence, offset = np.array(sorted(self.rows), np.int64).reshape(-1, 5).T
         self.key, self.first, self.sequence, self.offset = (lengths << 40) + first, first, sequence, offset
 
-    def large(self, counts: dict[int, int]) -> None:
-        lengths = np.array(sorted(counts, reverse=True), np.int64)
+    def large(self, counts: dict[int, int], groups: int) -> list[tuple[int, int, int]]:
+        """Packs large pieces by configurations; those left over as (length, how many, first number)."""
+        if full := counts.get(self.capacity):
+            self.rows.append((self.capacity, 0, full, self.sequences, 0))
+            self.sequences += full
+        lengths = np.array(sorted((n for n in counts if n < self.capacity), reverse=True), np.int64)
         to = np.cumsum([counts[n] for n in lengths.tolist()])
         total = int(to[-1]) if len(to) else 0
-        cuts = sorted({total * k // GROUPS for k in range(GROUPS + 1)})
-        at, end = cuts[:-1], cuts[1:]
+        cuts = sorted({total * k // groups for k in range(groups + 1)})
+        at, end = list(cuts[:-1]), cuts[1:]
         sizes = [int(lengths[np.searchsorted(to, a, "right")]) for a in at]  # of each group's largest, falling
-        at = list(at)
-        while (left := [j for j in range(len(at)) if at[j] < end[j]]):
-            use = self.configuration(left, sizes, [e - a for a, e in zip(at, end, strict=True)])
-            times = min((end[j] - at[j]) // n for j, n in use.items())
+        for use, times in configurations(sizes, [e - a for a, e in zip(at, end, strict=True)], self.capacity):
+            times = min([times, *((end[j] - at[j]) // n for j, n in use.items())])
             slots = []
             for j, n in use.items():
                 slots += [at[j] + k * times for k in range(n)]
                 at[j] += n * times
-            self.substitute(slots, times, lengths, to)
-
-    def configuration(self, left: list[int], sizes: list[int], counts: list[int]) -> dict[int, int]:
-        """Group -> how many: the largest size left and what fills up the rest best."""
-        rest = self.capacity - sizes[left[0]]
-        mask, reach = (1 << (rest + 1)) - 1, [1]
-        order = left[::-1]  # rising sizes
-        for j in order:
-            bits, n = reach[-1], counts[j] - (j == left[0])
-            for _ in range(min(n, rest // sizes[j])):
-                more = bits | ((reach[-1] if bits == reach[-1] else bits) << sizes[j]) & mask
-                if more == bits:
-                    break
-                bits = more
-            reach.append(bits)
-        use, total = {left[0]: 1}, reach[-1].bit_length() - 1
-        for k in range(len(order) - 1, -1, -1):
-            while not reach[k] >> total & 1:
-                use[order[k]] = use.get(order[k], 0) + 1
-                total -= sizes[order[k]]
-        return use
+            if times:
+                self.substitute(slots, times, lengths, to)
+        left = []
+        for a, e in zip(at, end, strict=True):
+            while a < e:
+                k = int(np.searchsorted(to, a, "right"))
+                n = min(e, int(to[k])) - a
+                left.append((int(lengths[k]), n, a - (int(to[k - 1]) if k else 0)))
+                a += n
+        return left
 
     def substitute(self, slots: list[int], times: int, lengths: np.ndarray, to: np.ndarray) -> None:
         """Puts the actual pieces into a configuration: runs of sequences in which every slot keeps its length."""
@@ -120,8 +153,8 @@ class Plan:
             self.room[self.capacity - offset].append((self.sequences, b - a))
             self.sequences += b - a
 
-    def best_fit(self, n: int, count: int) -> None:
-        """Pieces of a small length into the least room that holds them; new sequences where none is left."""
+    def best_fit(self, n: int, count: int, number: int) -> None:
+        """Pieces of one length, numbered from number on, into the least room that holds them; new sequences where none is left."""
         done = 0
         while done < count:
             room = next((r for r in range(n, self.capacity + 1) if self.room[r]), 0)
@@ -134,7 +167,7 @@ class Plan:
             if many > count - done:
                 self.room[room].append((first + count - done, many - count + done))
                 many = count - done
-            self.rows.append((n, done, many, first, self.capacity - room))
+            self.rows.append((n, number + done, many, first, self.capacity - room))
             self.room[room - n].append((first, many))
             done += many
 
@@ -150,7 +183,7 @@ def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
 def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (with doc_id, piece and length of at most capacity) with sequence_id and offset. pieces is read three times: store it first if it is costly."""
     plan = best_plan({r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}, capacity)  # a row for each length
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(partitions(pieces))))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in pieces.columns if c != "ids"]), F.lit(partitions(pieces))))
     part = Window.partitionBy("length", "_salt")
     before = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = before.withColumn("_before", F.sum("_n").over(Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)))

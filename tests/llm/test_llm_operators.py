@@ -196,7 +196,9 @@ def test_language_id(spark, empty):
     assert (known.language == [language_id.LANGUAGES[int(i) % 4] for i in known.doc_id]).all() and known.kept.all()
     assert not got[got.doc_id == 900].kept.any() and (got[got.doc_id == 901].language == "en").all()
     kept = language_id.language_filter(docs)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 1  # the blank one; null ids stay
+    assert kept.columns == docs.columns and kept.count() == len(rows) - 2  # the blank one, and the null one
+    twin = docs.unionByName(docs.where("doc_id = 5").withColumn("text", F.lit("")))  # a bad row with a good row's id
+    assert language_id.language_filter(twin.withColumns({"_id": F.lit(1), "key": F.lit(2)})).where("doc_id = 5").count() == 1
     pages = spark.createDataFrame([(1, "https://www.example.de/fr/x", '<html lang="fr-CA"><script>der die und</script><p>la maison de la reine et les rues</p>'), (2, None, None)], "page_id long, url string, html string")
     both = language_id.fused(language_id.of_documents(docs).unionByName(language_id.of_pages(pages)), docs).where("page_id IS NOT NULL").orderBy("page_id").collect()
     assert (both[0]["language"], both[0]["declared"], both[0]["suffix"], both[0]["host"]) == ("fr", "fr", "fr", "www.example.de") and not both[1]["kept"]
@@ -281,7 +283,10 @@ def brute_quality(text):
 def test_quality(spark, docs, empty):
     extra = spark.createDataFrame([(200, "a b c\na b c\n\n \na b c d", "en", "s", 1), (201, " ".join(["x y z"] * 40 + [f"q{k}" for k in range(90)]), "en", "s", 1), (202, "| # $ " * 80, "fr", "s", 1)], SCHEMA)
     both = docs.unionByName(extra)
-    rows = quality.verdicts(quality.measured(both.withColumn("kept", F.lit(7)))).collect()
+    clash = {c: F.lit("clash") for c in ("kept", "_ref_lang", "_lang", "_words", "_n")}
+    judged = quality.quality(both.withColumns(clash))
+    assert judged.columns == ["doc_id", "lang", "source", "n_chars", "_ref_lang", "_lang", "_words", "_n", *quality.RESULTS]
+    rows = judged.collect()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     texts = [r[1] for r in documents()] + [r["text"] for r in extra.collect()]
     assert multiset(tuple(r[c] for c in names) for r in rows) == multiset(map(brute_quality, texts))
