@@ -10,6 +10,7 @@ from ..sources.session import new_path, ship_code
 #: Word separators: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+MIN_FILES, ROWS_A_FILE = 6, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """stored(df), in as few files as a table of about so many rows needs: rounds over small tables are then few tasks each."""
+    return stored(df.coalesce(max(MIN_FILES, -(-rows // ROWS_A_FILE))))
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once, however often body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -6,7 +6,7 @@ edits; at similarity 0.8 fingerprints differ by 7 to 10 bits of 64, and Golay ke
 a pair at similarity s shares a min-hash key with chance 1 - (1 - s^ROWS)^BANDS: 0.9997 at 0.8. Every link is
 verified by exact Jaccard over the sets themselves, and links are joined into components.
 
-Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, twice as many
+Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, four times as many
 each round) are compared with all members that do not share their component yet, and leave the bucket; a bucket is done
 when one component has all that is left of it. So each pair of a bucket is compared, or joined already, and a group of
 near copies costs a few comparisons a member.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import chunks, mixed, texts, word_spans
-from .common import stored
+from .common import compact, stored
 from .simhash import components, fingerprints, with_keys, with_links, xxh64_spans
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -153,17 +153,22 @@ def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     first = listed.select(F.posexplode("_all").alias("_at", "a"), "_all").select("a", F.explode(F.expr("slice(_all, _at + 2, size(_all))")).alias("b"))
     links = stored(verified(first.distinct(), sets).unionByName(verified(similar, sets, SALTS)))
     hot, most = stored(buckets.where(F.col("_n") > SMALL).select("key", "node")), 1
+    n = hot.count()
+    hot, sets = compact(hot, n), compact(sets.join(hot.select("node").distinct(), "node", "left_semi"), n)
     labels = components(links)
     while not hot.isEmpty():
         marked = hot.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         ends = marked.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
-        marked = stored(marked.join(ends.select("key"), "key", "left_semi"))
+        marked = compact(marked.join(ends.select("key"), "key", "left_semi"), n)
         pivots = marked.groupBy("key", F.pmod(F.xxhash64("node", "key"), F.lit(most)).alias("_k")).agg(F.min(F.struct("node", "label")).alias("_p"))
-        pivots = stored(pivots.select("key", F.col("_p.node").alias("a"), F.col("_p.label").alias("_label")))
+        pivots = compact(pivots.select("key", F.col("_p.node").alias("a"), F.col("_p.label").alias("_label")), n)
         pairs = marked.join(pivots, "key").where(F.col("label") != F.col("_label")).select("a", F.col("node").alias("b")).distinct()
-        links = stored(links.unionByName(verified(pairs, sets, SALTS)))
-        labels, most = components(links), 2 * most
-        hot = stored(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select("key", "node"))
+        more = compact(verified(pairs, sets, SALTS), n)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
+        most *= 4
+        hot = compact(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select("key", "node"), n)
     return labels
 
 

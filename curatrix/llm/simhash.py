@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import chunks, texts, word_spans
-from .common import stored, table
+from .common import compact, stored, table
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
 SEGMENTS = (22, 21, 21)
@@ -242,12 +242,14 @@ def with_links(keyed: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of all nodes in links (a, b): the least node joined to each. Labels spread along links and jump to their labels' labels, round by round, until none changes."""
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    n = both.count()
+    both = compact(both, n)
+    labels = compact(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), n)
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("_node")).agg(F.min("label").alias("_near"))
         jump = labels.select(F.col("node").alias("_at"), F.col("label").alias("_jump"))
         step = labels.join(near, F.col("node") == F.col("_node"), "left").join(jump, F.col("label") == F.col("_at"), "left")
-        step = stored(step.select("node", F.least("label", "_near", "_jump").alias("label"), (F.least("label", "_near", "_jump") != F.col("label")).alias("_moved")))
+        step = compact(step.select("node", F.least("label", "_near", "_jump").alias("label"), (F.least("label", "_near", "_jump") != F.col("label")).alias("_moved")), n)
         labels = step.drop("_moved")
         if step.where("_moved").isEmpty():
             return labels
