@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,21 +13,15 @@ from pyspark.sql import types as T
 from .text import fuzzy_key, title_core
 
 
+@lru_cache(maxsize=1 << 16)  # titles and artists recur from batch to batch
+def _matching(x: str, y: str) -> float:
+    return 0.0 if not x or not y else 1.0 if x == y else SequenceMatcher(None, x, y).ratio()
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity: twice the matching blocks' length over both lengths; 0 where either is blank."""
-    seen: dict[tuple[str, str], float] = {}
-
-    def one(x: str | None, y: str | None) -> float:
-        if not x or not y:
-            return 0.0
-        if x == y:
-            return 1.0
-        if (x, y) not in seen:
-            seen[x, y] = SequenceMatcher(None, x, y).ratio()
-        return seen[x, y]
-
-    return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)])
+    return pd.Series([_matching(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
 @F.pandas_udf(T.DoubleType())

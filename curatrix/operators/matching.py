@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import match_score
-from ..functions.text import fuzzy_key, song_key
+from ..functions.text import fuzzy_key, search_text, song_key
 from ..functions.values import agreement, weighted
 
 #: Points (in hundredths) of agreement by field, and the least score (in thousandths) of each verdict.
@@ -84,9 +84,11 @@ def match_waterfall(df: DataFrame, row_id: str, title: Column, artist: Column, o
     return joined.withColumns({"official_match_status": status, "official_id": found}).drop("_qt", "_qa", "_t", "_a", "_t1", "_n_both", "_n_title", "_id_both", "_id_title")
 
 
-def provider_scores(pairs: DataFrame, seed: dict[str, str], result: dict[str, str]) -> DataFrame:
-    """pairs with title_status, artist_status, album_status, score (thousandths) and verdict. seed, result: column names of title, artist and album."""
-    status = {f: agreement(F.col(seed[f]), F.col(result[f])) for f in ("title", "artist", "album")}
+def provider_scores(pairs: DataFrame, seed: dict[str, str], result: dict[str, str], key=search_text) -> DataFrame:
+    """pairs with title_status, artist_status, album_status, score (thousandths) and verdict. seed, result: column names of title, artist and album.
+
+    key: how values compare; give the identity for columns that hold search text already, made once a row before rows were paired."""
+    status = {f: agreement(F.col(seed[f]), F.col(result[f]), key) for f in ("title", "artist", "album")}
     scored = pairs.withColumns({f"{f}_status": c for f, c in status.items()})
     points = weighted(F.col("title_status"), TITLE_POINTS) + weighted(F.col("artist_status"), ARTIST_POINTS) + weighted(F.col("album_status"), ALBUM_POINTS)
     scored = scored.withColumn("score", F.least(F.lit(1000), 10 * points))
@@ -130,8 +132,9 @@ def choose_hit(pairs: DataFrame, query_id: str, agree: dict[str, tuple[str, str,
     return pairs.withColumn("hit_points", points).withColumn("_n", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("hit_points"), *order))).where("_n = 1").drop("_n")
 
 
-def cover_pairs(df: DataFrame, title: Column, artist: Column, row_id: str) -> DataFrame:
-    """Rows of one title by different artists, both directions."""
+def cover_pairs(df: DataFrame, title: Column, artist: Column, row_id: str, wanted: Column | None = None) -> DataFrame:
+    """Rows of one title by different artists, both directions. wanted: the rows whose covers are looked up (all)."""
     base = df.select(F.col(row_id), song_key(title).alias("_t"), artist.alias("_a"))
     other = base.toDF("cover_id", "_t2", "cover_artist")
+    base = base.where(wanted) if wanted is not None else base
     return base.join(other, (F.col("_t") == F.col("_t2")) & (F.lower("_a") != F.lower("cover_artist"))).select(F.col(row_id).alias("original_id"), F.col("_t").alias("title_key"), F.col("_a").alias("original_artist"), "cover_id", "cover_artist")

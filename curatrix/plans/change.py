@@ -157,11 +157,11 @@ def apply_patches(spark: SparkSession, d: str) -> DataFrame:
     return versions.cell_patch_outcomes(target, patches(spark, d), ["code"], ["artist", "album"]).select("patch_id", "outcome")
 
 
-@query(f"WITH {CATALOG} SELECT id AS row_key, 'step3' AS artist, CAST(3 AS BIGINT) AS applied FROM catalog WHERE id < 100")
+@query(f"WITH {CATALOG} SELECT id AS row_key, 'step3' AS artist, CAST(3 AS BIGINT) AS applied FROM catalog")
 def patch_chains(spark: SparkSession, d: str) -> DataFrame:
     """Three patches of one cell, each on the value before it."""
     c = F.col
-    target = catalog(spark, d).where("id < 100").withColumns({"code": c("id").cast("string"), "row_key": c("id")})
+    target = catalog(spark, d).withColumns({"code": c("id").cast("string"), "row_key": c("id")})
     steps = target.select("id", "artist", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("seq"))
     manifest = steps.select(F.concat_ws("-", "id", "seq").alias("patch_id"), "seq", F.lit("code").alias("match_column"), c("id").cast("string").alias("match_value"), F.lit("artist").alias("target_column"), F.when(c("seq") == 1, c("artist")).otherwise(F.concat(F.lit("step"), c("seq") - 1)).alias("old_value"), F.concat(F.lit("step"), "seq").alias("new_value"))
     done = versions.cell_patch_outcomes(target, manifest, ["code"], ["artist"])
