@@ -1,7 +1,9 @@
-"""Similar rows: a target against all, and each row against those of its block."""
+"""Similar rows: a stated set of targets against all rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions.text import text_of
 from ..functions.values import bpm_score, jaccard, key_score
 
 TEMPO, KEY, ARTIST, LISTS = 30, 20, 25, 25
+BLOCK = 1000
 
 
 def reasons_score(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
@@ -34,18 +37,18 @@ def sided(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[f"{prefix}{c}" for c in df.columns])
 
 
-def similar_to(df: DataFrame, target: DataFrame, row_id: str, score, least: float, most: int, by: str) -> DataFrame:
-    """The rows most similar to the target (one row, put beside each), best first, equal ones by id."""
-    both = df.crossJoin(F.broadcast(sided(target.limit(1), "t_"))).where(F.col(row_id) != F.col(f"t_{row_id}"))
-    a, b = ({c: F.col(f"{p}{c}") for c in df.columns} for p in ("t_", ""))
-    return both.withColumns(score(a, b)).where(F.col(by) > least).orderBy(F.desc(by), row_id).limit(most)
-
+def similar_to(df: DataFrame, targets: DataFrame, row_id: str, score, least: float, most: int, by: str, block: int = BLOCK) -> DataFrame:
+    """For each target (a row of df) the rows of df most similar to it: columns a_ of the target, b_ of the row, its scores and place; equal ones by id.
 
-def similar_in_blocks(df: DataFrame, row_id: str, block: list[str], score, least: float, most: int, by: str) -> DataFrame:
-    """For each row its most similar rows among those of its block; size blocks so that they stay small."""
-    left, right = sided(df, "a_"), sided(df, "b_")
-    on = [F.col(f"a_{c}") == F.col(f"b_{c}") for c in block]
-    pairs = left.join(right, [*on, F.col(f"a_{row_id}") != F.col(f"b_{row_id}")])
+    Targets are put beside all rows in broadcast blocks of about `block` rows, a pass over df for each block: give a stated set of targets."""
+    blocks = max(1, -(-targets.count() // block))
+    rows = sided(df, "b_")
     a, b = ({c: F.col(f"{p}{c}") for c in df.columns} for p in ("a_", "b_"))
-    scored = pairs.withColumns(score(a, b)).where(F.col(by) > least)
-    return scored.withColumn("place", F.row_number().over(Window.partitionBy(f"a_{row_id}").orderBy(F.desc(by), f"b_{row_id}"))).where(F.col("place") <= most)
+
+    def beside(k: int) -> DataFrame:
+        some = targets.where(F.pmod(F.xxhash64(row_id), F.lit(blocks)) == k)
+        both = rows.crossJoin(F.broadcast(sided(some, "a_"))).where(F.col(f"a_{row_id}") != F.col(f"b_{row_id}"))  # a block of targets
+        scored = both.withColumns(score(a, b)).where(F.col(by) > least)
+        return scored.withColumn("place", F.row_number().over(Window.partitionBy(f"a_{row_id}").orderBy(F.desc(by), f"b_{row_id}"))).where(F.col("place") <= most)
+
+    return reduce(DataFrame.unionByName, [beside(k) for k in range(blocks)])

@@ -225,17 +225,18 @@ def tagged(spark: SparkSession, d: str) -> DataFrame:
 TAGGED = "t AS (SELECT p_partkey AS id, p_size AS bpm, p_type AS key, p_brand AS artist, list_distinct(string_split(p_name, ' ')) AS tags FROM part)"
 
 
-@query(f"""WITH {TAGGED}, s AS (SELECT b.id, b.bpm, b.artist AS ba, a.bpm AS abpm, CASE WHEN abs(a.bpm - b.bpm) <= 5 THEN 30 WHEN abs(a.bpm - b.bpm) <= 10 THEN 15 ELSE 0 END + CASE WHEN a.key = b.key THEN 20 ELSE 0 END + CASE WHEN a.artist = b.artist THEN 25 ELSE 0 END
-  + 25 * (len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags)))) AS s FROM t a, t b WHERE a.id = 7 AND b.id <> 7)
-  SELECT id, round(s, 2) AS similarity_score FROM s WHERE round(s, 2) > 0 ORDER BY round(s, 2) DESC, id LIMIT 50""")
+@query(f"""WITH {TAGGED}, s AS (SELECT a.id AS a_id, b.id AS b_id, round(CASE WHEN abs(a.bpm - b.bpm) <= 5 THEN 30 WHEN abs(a.bpm - b.bpm) <= 10 THEN 15 ELSE 0 END + CASE WHEN a.key = b.key THEN 20 ELSE 0 END + CASE WHEN a.artist = b.artist THEN 25 ELSE 0 END
+  + 25 * (len(list_intersect(a.tags, b.tags)) / len(list_distinct(list_concat(a.tags, b.tags)))), 2) AS similarity_score FROM t a, t b WHERE a.id % 100 = 0 AND b.id <> a.id)
+  SELECT a_id, b_id, similarity_score, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY similarity_score DESC, b_id) AS place FROM s WHERE similarity_score > 0) WHERE place <= 50""")
 def similar_v1(spark: SparkSession, d: str) -> DataFrame:
     base = tagged(spark, d)
-    return similarity.similar_to(base, base.where("id = 7"), "id", similarity.reasons_score, 0, 50, "similarity_score").select("id", "similarity_score")
+    return similarity.similar_to(base, base.where("id % 100 = 0"), "id", similarity.reasons_score, 0, 50, "similarity_score").select("a_id", "b_id", "similarity_score", "place")
 
 
-@query(f"""WITH {TAGGED}, s AS (SELECT a.id AS a_id, b.id AS b_id, 10.0::DOUBLE * (1.0::DOUBLE - abs(a.bpm - b.bpm)::DOUBLE / 15.0::DOUBLE) AS bpm_raw, abs(a.bpm - b.bpm) AS gap, 10.0::DOUBLE * (len(list_intersect(a.tags, b.tags))::DOUBLE / len(list_distinct(list_concat(a.tags, b.tags)))::DOUBLE) AS tag_score FROM t a JOIN t b ON a.key = b.key AND a.artist = b.artist AND a.id <> b.id),
-  w AS (SELECT a_id, b_id, round(CASE WHEN gap <= 15 THEN bpm_raw ELSE 0 END + 5.0 + 5.0 + tag_score, 4) AS total_score FROM s)
+@query(f"""WITH {TAGGED}, s AS (SELECT a.id AS a_id, b.id AS b_id, 10.0::DOUBLE * (1.0::DOUBLE - abs(a.bpm - b.bpm)::DOUBLE / 15.0::DOUBLE) AS bpm_raw, abs(a.bpm - b.bpm) AS gap, CASE WHEN a.key = b.key THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END AS same_key, 10.0::DOUBLE * (len(list_intersect(a.tags, b.tags))::DOUBLE / len(list_distinct(list_concat(a.tags, b.tags)))::DOUBLE) AS tag_score FROM t a, t b WHERE a.id % 100 = 0 AND a.id <> b.id),
+  w AS (SELECT a_id, b_id, round(CASE WHEN gap <= 15 THEN bpm_raw ELSE 0 END + same_key + tag_score, 4) AS total_score FROM s)
   SELECT a_id, b_id, total_score, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY total_score DESC, b_id) AS place FROM w WHERE total_score > 3) WHERE place <= 5""")
 def similar_v2(spark: SparkSession, d: str) -> DataFrame:
-    found = similarity.similar_in_blocks(tagged(spark, d), "id", ["key", "artist"], similarity.breakdown_score, 3, 5, "total_score")
-    return found.select("a_id", "b_id", "total_score", "place")
+    """Key and genre are the same column here: 5 points each."""
+    base = tagged(spark, d)
+    return similarity.similar_to(base, base.where("id % 100 = 0"), "id", similarity.breakdown_score, 3, 5, "total_score").select("a_id", "b_id", "total_score", "place")
