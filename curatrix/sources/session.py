@@ -30,9 +30,11 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset and all runs in this process (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="curatrix-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
