@@ -24,7 +24,10 @@ def group_sizes(df: DataFrame, identity: Column) -> DataFrame:
 
 
 def with_group_size(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumn("group_size", F.count("*").over(Window.partitionBy(*keys)))
+    """df with the size of each row's group. Sizes are counted before the join, so that a large group's rows stay apart."""
+    sizes = df.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count("*").alias("group_size"))
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(sizes, on, "left").drop(*[f"_key_{k}" for k in keys])
 
 
 def classified(df: DataFrame, keys: list[str], album: str, duration: str, track_id: str, year: Column | None = None) -> DataFrame:

@@ -8,11 +8,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean, display_text, nonblank, or_null, text_of
+from .session import new_path
 
 BOM = "\ufeff"
 DASH = r"\s+[-–—]\s+"
@@ -40,9 +41,15 @@ def typed(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFrame:
 
 
 def with_row_number(df: DataFrame, start: int = 2) -> DataFrame:
-    """df with row_number in the order it is read. Counts each partition, then numbers within it: no global sort."""
-    numbered = df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + start))
-    return df.sparkSession.createDataFrame(numbered, T.StructType([*df.schema, T.StructField("row_number", T.LongType())]))
+    """df with row_number in the order it is read. The rows are written once with their places, so that numbers stay whatever is computed again; partitions get offsets from their counts."""
+    path = new_path(df.sparkSession, "placed")
+    df.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_place", 33))  # a place is a partition and 33 bits of a row
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")  # one row a partition
+    offsets = sizes.select("_part", before.alias("_before"))
+    number = F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1) + F.lit(start)
+    return placed.join(offsets, "_part").withColumn("row_number", number).select(*[F.col(f"`{c}`") for c in df.columns], "row_number")
 
 
 def text_list(lines: DataFrame, value: str = "value") -> DataFrame:
