@@ -14,12 +14,13 @@ COMPILATION_WORDS = r"(?i)\b(greatest hits|best of|collection|anthology|essentia
 
 
 def duplicate_groups(df: DataFrame, identity: Column, row_id: str) -> DataFrame:
-    """(identity, group_size, ids) of identities that several rows share. ids are one identity's own rows, sorted."""
-    return df.groupBy(identity.alias("identity")).agg(F.count("*").alias("group_size"), F.sort_array(F.collect_list(row_id)).alias("ids")).where("group_size > 1")
+    """(identity, group_size, row_id): the members of the identities that several rows share, a row each. Sizes are counted before the join, so no task or row holds a group."""
+    keyed = df.select(identity.alias("identity"), row_id)
+    return keyed.join(group_sizes(keyed, F.col("identity")), "identity").select("identity", "group_size", row_id)
 
 
 def group_sizes(df: DataFrame, identity: Column) -> DataFrame:
-    """duplicate_groups without the ids: no row grows with its group."""
+    """(identity, group_size) of the identities that several rows share."""
     return df.groupBy(identity.alias("identity")).agg(F.count("*").alias("group_size")).where("group_size > 1")
 
 

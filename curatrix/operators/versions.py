@@ -106,7 +106,7 @@ def cell_patch_outcomes(table: DataFrame, patches: DataFrame, match_columns: lis
     """patches (patch_id, seq, match_column, match_value, target_column, old_value, new_value) with row_key, outcome and value_after.
 
     Patches of one cell are applied in order of seq, each on what the one before left: a value that is new already is
-    already_applied, one that is not the old value is skipped as stale. A match column must not be patched itself."""
+    already_applied, one that is not the old value is skipped as stale. A match column must not be patched itself. place tells the order within a cell."""
     index = table.withColumn("row_key", F.monotonically_increasing_id() if "row_key" not in table.columns else F.col("row_key"))
     cells = index.select("row_key", *[text_of(F.col(c)).alias(c) for c in dict.fromkeys([*match_columns, *target_columns])])
     found = cells.unpivot(["row_key"], match_columns, "_mc", "_mv").groupBy("_mc", "_mv").agg(F.count("*").alias("_hits"), F.min("row_key").alias("row_key"))
@@ -117,19 +117,28 @@ def cell_patch_outcomes(table: DataFrame, patches: DataFrame, match_columns: lis
     reason = F.when(~known("match_column", match_columns), "missing_match_column").when(~known("target_column", target_columns), "missing_target_column").when(F.coalesce("_hits", F.lit(0)) != 1, "target_match_not_unique")
     joined = joined.withColumn("_reason", reason)
     good = joined.where(F.col("_reason").isNull())
-    start = F.struct(F.first("_now").alias("value"), F.array().cast("array<struct<patch_id:string,outcome:string,value_after:string>>").alias("done"))
+    start = F.struct(F.first("_now").alias("value"), F.array().cast("array<struct<place:bigint,patch_id:string,outcome:string,value_after:string>>").alias("done"))
     steps = F.array_sort(F.collect_list(F.struct("seq", F.col("patch_id").cast("string").alias("patch_id"), text_of(F.col("old_value")).alias("old_value"), text_of(F.col("new_value")).alias("new_value"))))  # one cell's patches
 
     def apply(state: Column, p: Column) -> Column:
         outcome = F.when(state["value"] == p["new_value"], "already_applied").when(state["value"] != p["old_value"], "stale_current_value").otherwise("applied")
         value = F.when(outcome == "applied", p["new_value"]).otherwise(state["value"])
-        return F.struct(value.alias("value"), F.array_append(state["done"], F.struct(p["patch_id"].alias("patch_id"), outcome.alias("outcome"), value.alias("value_after"))).alias("done"))
+        return F.struct(value.alias("value"), F.array_append(state["done"], F.struct(F.size(state["done"]).cast("bigint").alias("place"), p["patch_id"].alias("patch_id"), outcome.alias("outcome"), value.alias("value_after"))).alias("done"))
 
     folded = good.groupBy("row_key", "target_column").agg(start.alias("s"), steps.alias("p")).select("row_key", "target_column", F.inline(F.aggregate("p", F.col("s"), apply)["done"]))
-    bad = joined.where(F.col("_reason").isNotNull()).select("row_key", "target_column", F.col("patch_id").cast("string").alias("patch_id"), F.col("_reason").alias("outcome"), F.lit(None).cast("string").alias("value_after"))
+    bad = joined.where(F.col("_reason").isNotNull()).select("row_key", "target_column", F.lit(None).cast("bigint").alias("place"), F.col("patch_id").cast("string").alias("patch_id"), F.col("_reason").alias("outcome"), F.lit(None).cast("string").alias("value_after"))
     return folded.unionByName(bad)
 
 
+def patched(table: DataFrame, outcomes: DataFrame, columns: list[str]) -> DataFrame:
+    """table (with row_key) after its patches: each cell has what the last applied patch left there."""
+    done = outcomes.where("outcome = 'applied'")
+    last = lambda c: F.max_by("value_after", F.when(F.col("target_column") == c, F.col("place"))).alias(f"_new_{c}")
+    new = done.groupBy(F.col("row_key").alias("_row")).agg(*[last(c) for c in columns])
+    joined = table.join(new, F.col("row_key") == F.col("_row"), "left")
+    return joined.withColumns({c: F.coalesce(f"_new_{c}", c) for c in columns}).select(*table.columns)
+
+
 def appended_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows to append that the table does not have yet."""
     return rows.select(*table.columns).exceptAll(rows.select(*table.columns).intersect(table)).distinct()
@@ -151,3 +160,12 @@ def decision_actions(decisions: DataFrame, decision: str, current: Column, accep
     """decisions with the action that applies them."""
     action = F.when(F.col(decision).isin("needs_review", "conflict"), "unresolved").when(~row_found, "append").when(is_blank(accepted) | (text_of(current) == text_of(accepted)), "already").otherwise("update")
     return decisions.withColumn("action", action)
+
+
+def decisions_applied(table: DataFrame, actions: DataFrame, key: str, column: str, accepted: str) -> DataFrame:
+    """table after decision_actions (one a key): updates take the accepted value, appended rows have the key and that value. Unresolved ones are an error."""
+    if not actions.where("action = 'unresolved'").isEmpty():
+        raise ValueError("some decisions are unresolved")
+    new = actions.where("action = 'update'").select(F.col(key).alias("_key"), F.col(accepted).alias("_accepted"))
+    updated = table.join(new, F.col(key) == F.col("_key"), "left").withColumn(column, F.coalesce("_accepted", column)).select(*table.columns)
+    return updated.unionByName(actions.where("action = 'append'").select(key, F.col(accepted).alias(column)), allowMissingColumns=True)

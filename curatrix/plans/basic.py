@@ -14,10 +14,9 @@ from ..streaming import ledger
 from .base import BOTH, CATALOG, catalog, query, sql_compact, sql_key, sql_match, staged, table
 
 
-@query(f"SELECT sha256({sql_match('p_name')} || '|' || {sql_match('p_brand')}) AS identity, count(*) AS group_size, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS ids FROM part GROUP BY 1 HAVING count(*) > 1")
+@query(f"WITH k AS (SELECT sha256({sql_match('p_name')} || '|' || {sql_match('p_brand')}) AS identity, p_partkey AS id FROM part) SELECT identity, count(*) OVER (PARTITION BY identity) AS group_size, id FROM k QUALIFY group_size > 1")
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
-    groups = dedupe.duplicate_groups(catalog(spark, d), v.stable_id(F.col("title"), F.col("artist")), "id")
-    return groups.withColumn("ids", F.array_join(F.transform("ids", lambda i: i.cast("string")), ","))
+    return dedupe.duplicate_groups(catalog(spark, d), v.stable_id(F.col("title"), F.col("artist")), "id")
 
 
 @query(f"SELECT sha256({sql_match('p_name')} || '|' || {sql_match('p_brand')} || '|' || {sql_match('p_type')}) AS identity, count(*) AS group_size FROM part GROUP BY 1 HAVING count(*) > 1")

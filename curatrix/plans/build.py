@@ -118,19 +118,19 @@ def text_repair(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_partkey AS id, p_name AS title FROM part")
 def zip_ingest(spark: SparkSession, d: str) -> DataFrame:
-    """The catalog as CSV members of zip files, one from each partition, read back."""
+    """The catalog as CSV members of zip files, one from each batch of rows, read back."""
     path = new_path(spark, "archives")
-    part = table(spark, d, "part").select("p_partkey", "p_name").repartition(4, "p_partkey")
+    part = table(spark, d, "part").select("p_partkey", "p_name").repartition("p_partkey")
 
     def zipped(batches):
         import pyarrow as pa
 
-        lines = [f"{i},{t}" for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-        body = io.BytesIO()
-        with zipfile.ZipFile(body, "w") as archive:
-            archive.writestr("list.csv", "\n".join(lines))
-            archive.writestr("skipped.json", "{}")
-        yield pa.RecordBatch.from_arrays([pa.array([body.getvalue()], pa.binary())], ["content"])
+        for batch in batches:
+            body = io.BytesIO()
+            with zipfile.ZipFile(body, "w") as archive:
+                archive.writestr("list.csv", "\n".join(f"{i},{t}" for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)))
+                archive.writestr("skipped.json", "{}")
+            yield pa.RecordBatch.from_arrays([pa.array([body.getvalue()], pa.binary())], ["content"])
 
     part.mapInArrow(zipped, "content binary").write.parquet(path)
     files = spark.read.parquet(path).select(F.lit("x.zip").alias("path"), F.lit("zip").alias("extension"), "content")

@@ -173,6 +173,28 @@ def reason_counts(spark: SparkSession, d: str) -> DataFrame:
     return apply_patches(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
 
 
+@query(f"{PATCHES} SELECT id AS row_key, CASE WHEN target_column = 'artist' AND match_value <> 'none' AND artist <> new_value AND artist = old_value THEN new_value ELSE artist END AS artist FROM p")
+def patched_table(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog with its patches applied."""
+    target = catalog(spark, d).withColumns({"code": F.col("id").cast("string"), "row_key": F.col("id")})
+    done = versions.cell_patch_outcomes(target, patches(spark, d), ["code"], ["artist", "album"])
+    return versions.patched(target, done, ["artist", "album"]).select("row_key", "artist")
+
+
+@query(f"{BOTH} SELECT c.id, c.title, coalesce(s.album, c.album) AS album FROM catalog c LEFT JOIN staged s ON s.id = c.id UNION ALL SELECT id + 1000000, NULL, album FROM staged WHERE id % 17 = 0")
+def decided_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog after decisions by marks: other albums of the staged rows are taken, and rows that it lacks are appended."""
+    c = F.col
+    new = staged(spark, d).select("id", c("album").alias("staged_album"))
+    new = new.unionByName(new.where("id % 17 = 0").withColumn("id", c("id") + 1_000_000))
+    both = new.join(catalog(spark, d).select("id", "album"), "id", "left")
+    other = ~c("album").eqNullSafe(c("staged_album"))
+    decided = both.withColumn("decision", versions.marked_decision(F.when(other, "").otherwise("x"), F.when(other, "X").otherwise("")))
+    decided = decided.withColumn("accepted", F.when(c("decision") == "use_staged", c("staged_album")).otherwise(c("album")))
+    actions = versions.decision_actions(decided, "decision", c("album"), c("accepted"), c("album").isNotNull())
+    return versions.decisions_applied(catalog(spark, d).select("id", "title", "album"), actions, "id", "album", "accepted")
+
+
 @query(f"{BOTH} SELECT id, title, artist FROM staged WHERE artist = '' ")
 def append_patches(spark: SparkSession, d: str) -> DataFrame:
     """Rows to append to the catalog: those it has are left out."""

@@ -17,7 +17,7 @@ from curatrix.streaming import ledger
 def test_duplicates_and_versions(spark):
     df = spark.createDataFrame([(1, "Hello", "Adele", ""), (2, "hello!", "ADELE", "Live"), (3, "Other", "Adele", "")], "id int, t string, a string, v string")
     groups = dedupe.duplicate_groups(df, values.stable_id(F.col("t"), F.col("a")), "id").collect()
-    assert [(g["group_size"], g["ids"]) for g in groups] == [(2, [1, 2])]
+    assert sorted((g["group_size"], g["id"]) for g in groups) == [(2, 1), (2, 2)]
     assert dedupe.group_sizes(df, values.stable_id(F.col("t"), F.col("a"), F.col("v"))).count() == 0
 
 
@@ -89,6 +89,8 @@ def test_patches_twice(spark):
     manifest = spark.createDataFrame([("p1", 1, "k", "k1", "v", "old", "mid"), ("p2", 2, "k", "k1", "v", "mid", "new"), ("p3", 3, "k", "k2", "v", "wrong", "x"), ("p4", 4, "k", "k3", "v", "a", "b"), ("p5", 5, "q", "k1", "v", "", "x"), ("p6", 6, "k", "k1", "q", "", "x"), ("p7", 7, "k", "zz", "v", "", "x")], schema)
     first = {r["patch_id"]: r["outcome"] for r in versions.cell_patch_outcomes(table, manifest, ["k"], ["v"]).collect()}
     assert first == {"p1": "applied", "p2": "applied", "p3": "stale_current_value", "p4": "target_match_not_unique", "p5": "missing_match_column", "p6": "missing_target_column", "p7": "target_match_not_unique"}
+    patched = versions.patched(table, versions.cell_patch_outcomes(table, manifest, ["k"], ["v"]), ["v"])
+    assert sorted((r["row_key"], r["v"]) for r in patched.collect()) == [(1, "new"), (2, "other"), (3, "a"), (4, "a")]
     after = table.withColumn("v", F.when(F.col("k") == "k1", "new").otherwise(F.col("v")))
     again = {r["patch_id"]: r["outcome"] for r in versions.cell_patch_outcomes(after, manifest.where("patch_id = 'p2'"), ["k"], ["v"]).collect()}
     assert again == {"p2": "already_applied"}
@@ -177,3 +179,20 @@ def test_alias_match_statuses(spark):
     queries = spark.createDataFrame([("q1", ["a"]), ("q2", ["b"]), ("q3", ["z"])], "q string, ks array<string>")
     got = matching.alias_match(queries, "q", F.col("ks"), index, "hit", F.col("keys")).collect()
     assert {r["q"]: (r["match_status"], r["matched_hit"]) for r in got} == {"q1": ("matched", 1), "q2": ("ambiguous", None), "q3": ("unmatched", None)}
+
+
+def test_decisions_apply_unless_one_is_unresolved(spark):
+    table = spark.createDataFrame([(1, "a", "t"), (2, "b", "u")], "id int, v string, t string")
+    actions = spark.createDataFrame([(1, "new", "update"), (2, "b", "already"), (3, "c", "append")], "id int, accepted string, action string")
+    got = versions.decisions_applied(table, actions, "id", "v", "accepted")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "new", "t"), (2, "b", "u"), (3, "c", None)]
+    with pytest.raises(ValueError, match="unresolved"):
+        versions.decisions_applied(table, actions.withColumn("action", F.lit("unresolved")), "id", "v", "accepted")
+
+
+def test_group_sizes_and_row_numbers_with_nulls(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "x")], "id int, k string")
+    assert sorted((r["id"], r["group_size"]) for r in dedupe.with_group_size(df, ["k"]).collect()) == [(1, 2), (2, 2), (3, 1)]
+    numbered = tables.with_row_number(df.repartition(3), start=2)
+    assert sorted(r["row_number"] for r in numbered.collect()) == [2, 3, 4]
+    assert tables.with_row_number(df.where("id > 9")).count() == 0
