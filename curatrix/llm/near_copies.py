@@ -7,8 +7,9 @@ a pair at similarity s shares a min-hash key with chance 1 - (1 - s^ROWS)^BANDS:
 verified by exact Jaccard over the sets themselves, and links are joined into components.
 
 Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, four times as many
-each round) are compared with all members that do not share their component yet, and leave the bucket; a bucket is done
-when one component has all that is left of it. So each pair of a bucket is compared, or joined already, and a group of
+each round) are compared with all members that do not share their component yet, and leave the bucket (a pair whose counts by range of hashes
+show that it cannot be similar enough is not verified); a bucket is done when one component has all that is left of it. Members of the most large buckets are pivots first: the text that others
+were made from is like more of them than they are like each other. So each pair of a bucket is compared, or joined already, and a group of
 near copies costs a few comparisons a member.
 
 Defined results: words are runs without ASCII white space, ASCII letters lower; a text of one to four words has one
@@ -35,6 +36,8 @@ BANDS, ROWS = 20, 5
 SMALL = 16
 #: A pivot's set is held so many times, that its comparisons go to as many tasks.
 SALTS = 16
+#: Equal ranges of the hash space in which a set's members are counted: two sets share no more than the lesser counts.
+CELLS = 128
 
 
 def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,15 +104,18 @@ def with_sketches(rows: DataFrame) -> DataFrame:
 
 
 def with_sets(rows: DataFrame) -> DataFrame:
-    """rows (node, text) as (node, shingles)."""
+    """rows (node, text) as (node, shingles, cells: how many shingles are in each range of hashes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, h, at in per_text(batch):
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], ["node", "shingles"])
+                cell = np.repeat(np.arange(hi - lo), np.diff(at)) * CELLS + (h // np.uint64(2**64 // CELLS)).astype(np.int64)
+                counts = pa.array(np.bincount(cell, minlength=(hi - lo) * CELLS).astype(np.int32))
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * CELLS, pa.int32()), counts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists, cells], ["node", "shingles", "cells"])
 
-    return rows.select("node", "text").mapInArrow(work, "node long, shingles array<long>")
+    return rows.select("node", "text").mapInArrow(work, "node long, shingles array<long>, cells array<int>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, salts: int = 1) -> DataFrame:
@@ -152,23 +158,28 @@ def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     listed = small.groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("_all"))
     first = listed.select(F.posexplode("_all").alias("_at", "a"), "_all").select("a", F.explode(F.expr("slice(_all, _at + 2, size(_all))")).alias("b"))
     links = stored(verified(first.distinct(), sets).unionByName(verified(similar, sets, SALTS)))
-    hot, most = stored(buckets.where(F.col("_n") > SMALL).select("key", "node")), 1
+    sized = sets.select("node", F.size("shingles").alias("_size"), F.col("cells").alias("_cells"))
+    hot, most = stored(buckets.where(F.col("_n") > SMALL).select("key", "node").join(sized, "node")), 1
+    shared = hot.groupBy("node").agg(F.count("*").alias("_shared"))
+    hot = stored(hot.join(shared, "node"))
     n = hot.count()
     hot, sets = compact(hot, n), compact(sets.join(hot.select("node").distinct(), "node", "left_semi"), n)
     labels = components(links)
+    shared_most = F.aggregate(F.zip_with("_cells", "_other_cells", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)  # fewer are shared, or as many
+    may_be_alike = shared_most >= F.lit(SIMILARITY) * (F.col("_size") + F.col("_other") - shared_most) - 1e-9
     while not hot.isEmpty():
-        marked = hot.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        marked = hot.join(labels, "node", "left").select("key", "node", "_size", "_cells", "_shared", F.coalesce("label", "node").alias("label"))
         ends = marked.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
         marked = compact(marked.join(ends.select("key"), "key", "left_semi"), n)
-        pivots = marked.groupBy("key", F.pmod(F.xxhash64("node", "key"), F.lit(most)).alias("_k")).agg(F.min(F.struct("node", "label")).alias("_p"))
-        pivots = compact(pivots.select("key", F.col("_p.node").alias("a"), F.col("_p.label").alias("_label")), n)
-        pairs = marked.join(pivots, "key").where(F.col("label") != F.col("_label")).select("a", F.col("node").alias("b")).distinct()
+        pivots = marked.groupBy("key", F.pmod(F.xxhash64("node", "key"), F.lit(most)).alias("_k")).agg(F.min(F.struct((-F.col("_shared")).alias("_few"), "node", "label", "_size", "_cells")).alias("_p"))
+        pivots = compact(pivots.select("key", F.col("_p.node").alias("a"), F.col("_p.label").alias("_label"), F.col("_p._size").alias("_other"), F.col("_p._cells").alias("_other_cells")), n)
+        pairs = marked.join(pivots, "key").where((F.col("label") != F.col("_label")) & may_be_alike).select("a", F.col("node").alias("b")).distinct()
         more = compact(verified(pairs, sets, SALTS), n)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
         most *= 4
-        hot = compact(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select("key", "node"), n)
+        hot = compact(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select("key", "node", "_size", "_cells", "_shared"), n)
     return labels
 
 
