@@ -6,11 +6,13 @@ edits; at similarity 0.8 fingerprints differ by 7 to 10 bits of 64, and Golay ke
 a pair at similarity s shares a min-hash key with chance 1 - (1 - s^ROWS)^BANDS: 0.9997 at 0.8. Every link is
 verified by exact Jaccard over the sets themselves, and links are joined into components.
 
-Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, four times as many
-each round) are compared with all members that do not share their component yet, and leave the bucket (a pair whose counts by range of hashes
-show that it cannot be similar enough is not verified); a bucket is done when one component has all that is left of it. Members of the most large buckets are pivots first: the text that others
-were made from is like more of them than they are like each other. So each pair of a bucket is compared, or joined already, and a group of
-near copies costs a few comparisons a member.
+Buckets of up to SMALL nodes are compared pair by pair. In larger ones some members at a time (pivots, GROWTH times as many
+each round) are compared with all members that do not share their component yet, and leave the bucket; a bucket is done when one component
+has all that is left of it. Members of the most large buckets are pivots first: the text that others were made from is like more of them
+than they are like each other. So each pair of a bucket is compared, or joined already, or cannot be similar enough, and a group of near copies
+costs a few comparisons a member. What cannot be similar enough is told by bounds that lose no link: shingles that one set alone has count for no pair, so
+a set leaves a bucket where no other is of a size that it could be similar to with the rest; pairs have the same bound by the counts of
+both, and then one by their counts of shingles in each range of hashes.
 
 Defined results: words are runs without ASCII white space, ASCII letters lower; a text of one to four words has one
 shingle; null and blank texts have the empty set and are copies of each other. Every row has its own verdict: of a
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import chunks, mixed, texts, word_spans
@@ -34,10 +36,13 @@ from .simhash import components, fingerprints, with_keys, with_links, xxh64_span
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 SMALL = 16
+GROWTH = 16
 #: A pivot's set is held so many times, that its comparisons go to as many tasks.
 SALTS = 16
 #: Equal ranges of the hash space in which a set's members are counted: two sets share no more than the lesser counts.
 CELLS = 128
+#: Sets of sizes alike to e^(1/SIZES) are of one class where partners' sizes are looked up.
+SIZES = 100
 
 
 def shingles(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +150,25 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
     return near.unionByName(nodes.join(least, "fingerprint").where("node <> _least").select(F.col("_least").alias("a"), F.col("node").alias("b")))
 
 
+def enough(common: Column, size: Column, other: Column) -> Column:
+    """Whether sets of these sizes with so many shingles in common are similar enough."""
+    return common >= F.lit(SIMILARITY / (1 + SIMILARITY)) * (size + other) - 1e-9
+
+
+def with_partners(hot: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of hot (key, node, _size, ...) that may have a similar one in their bucket, with _common: how many of a node's shingles any other node of hot has."""
+    here = sets.join(hot.select("node").distinct(), "node", "left_semi")
+    alone = here.select("node", F.explode("shingles").alias("_s")).groupBy("_s").agg(F.count("*").alias("_n"), F.min("node").alias("node")).where("_n = 1")
+    counted = hot.drop("_common").join(alone.groupBy("node").agg(F.count("*").alias("_alone")), "node", "left")
+    counted = stored(counted.withColumn("_common", F.col("_size") - F.coalesce("_alone", F.lit(0))).drop("_alone").withColumn("_class", F.floor(F.log(F.greatest("_size", F.lit(1))) * SIZES).cast("int")))
+    classes = counted.groupBy("key", "_class").agg(F.min("_size").alias("_least"), F.max("_common").alias("_most"))
+    others = classes.select("key", F.col("_class").alias("_of"), F.col("_least").alias("_low"), F.col("_most").alias("_high"))
+    reach = int(np.ceil(-np.log(SIMILARITY) * SIZES)) + 1
+    met = classes.join(others, "key").where((F.abs(F.col("_class") - F.col("_of")) <= reach) & enough(F.least("_most", "_high"), F.col("_least"), F.col("_low")))
+    low = met.groupBy("key", "_class").agg(F.min("_low").alias("_low"))
+    return counted.join(low, ["key", "_class"]).where(enough(F.col("_common"), F.col("_size"), F.col("_low"))).drop("_class", "_low")
+
+
 def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, label) of the nodes of sketched that have links. docs: (text, _text_hash)."""
     keyed = sketched.select("node", "keys").dropDuplicates(["node"]).select("node", F.explode("keys").alias("key"))
@@ -163,23 +187,27 @@ def near_components(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     shared = hot.groupBy("node").agg(F.count("*").alias("_shared"))
     hot = stored(hot.join(shared, "node"))
     n = hot.count()
-    hot, sets = compact(hot, n), compact(sets.join(hot.select("node").distinct(), "node", "left_semi"), n)
+    hot, sets = compact(with_partners(hot, sets), n), compact(sets.join(hot.select("node").distinct(), "node", "left_semi"), n)
     labels = components(links)
+    carried = ["key", "node", "_size", "_cells", "_shared", "_common"]
     shared_most = F.aggregate(F.zip_with("_cells", "_other_cells", lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x)  # fewer are shared, or as many
-    may_be_alike = shared_most >= F.lit(SIMILARITY) * (F.col("_size") + F.col("_other") - shared_most) - 1e-9
+    size, other = F.col("_size"), F.col("_other")
+    may_be_alike = enough(F.least("_common", "_other_common"), size, other) & enough(shared_most, size, other)
     while not hot.isEmpty():
-        marked = hot.join(labels, "node", "left").select("key", "node", "_size", "_cells", "_shared", F.coalesce("label", "node").alias("label"))
-        ends = marked.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi")
-        marked = compact(marked.join(ends.select("key"), "key", "left_semi"), n)
-        pivots = marked.groupBy("key", F.pmod(F.xxhash64("node", "key"), F.lit(most)).alias("_k")).agg(F.min(F.struct((-F.col("_shared")).alias("_few"), "node", "label", "_size", "_cells")).alias("_p"))
-        pivots = compact(pivots.select("key", F.col("_p.node").alias("a"), F.col("_p.label").alias("_label"), F.col("_p._size").alias("_other"), F.col("_p._cells").alias("_other_cells")), n)
+        marked = hot.join(labels, "node", "left").select(*carried, F.coalesce("label", "node").alias("label"))
+        ends = marked.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("_left")).where("_lo < _hi")
+        marked = compact(marked.join(ends.select("key", "_left"), "key"), n)
+        first = F.min(F.struct((-F.col("_shared")).alias("_few"), "node", "label", "_size", "_cells", "_common")).alias("_p")
+        each = F.when(F.col("_left") <= SMALL, F.col("node")).otherwise(F.pmod(F.xxhash64("node", "key"), F.lit(most)))  # all that are left of a small one
+        pivots = marked.groupBy("key", each.alias("_k")).agg(first)
+        pivots = compact(pivots.select("key", *[F.col(f"_p.{x}").alias(y) for x, y in [("node", "a"), ("label", "_label"), ("_size", "_other"), ("_cells", "_other_cells"), ("_common", "_other_common")]]), n)
         pairs = marked.join(pivots, "key").where((F.col("label") != F.col("_label")) & may_be_alike).select("a", F.col("node").alias("b")).distinct()
         more = compact(verified(pairs, sets, SALTS), n)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links)
-        most *= 4
-        hot = compact(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select("key", "node", "_size", "_cells", "_shared"), n)
+        most *= GROWTH
+        hot = compact(with_partners(marked.join(pivots.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti").select(*carried), sets), n)
     return labels
 
 
