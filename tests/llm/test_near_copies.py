@@ -80,3 +80,16 @@ def test_recall_of_candidates():
         _, keys = near_copies.sketches(np.concatenate([x, y]), np.array([0, 180, 360]))
         hit += bool((keys[0] == keys[1]).any())
     assert hit >= 0.99 * n
+
+
+def test_bounds_lose_no_link(spark):
+    texts = [edited(prose(5, 120), k, 1 + k % 30) for k in range(60)] + [prose(7, n) for n in (1, 3, 40, 118, 120, 122)] + [""]
+    sets = [shingle_set(t) for t in texts]
+    names = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    rows = [(k, [names[x] for x in s], [len(s)]) for k, s in enumerate(sets)]
+    held = spark.createDataFrame(rows, "node long, shingles array<long>, cells array<int>")
+    hot = spark.createDataFrame([(k % 2 if j else 2, k, len(s)) for k, s in enumerate(sets) for j in (0, 1)], "key long, node long, _size int")
+    got = {(r["key"], r["node"]) for r in near_copies.with_partners(hot, held).collect()}
+    want = {(key, a) for a in range(len(sets)) for b in range(len(sets)) if a != b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for key in ({2, a % 2} if a % 2 == b % 2 else {2})}
+    assert want and want <= got
+    assert len(got) < 2 * len(sets)  # some have left their buckets
