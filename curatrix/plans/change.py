@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..functions import values as v
-from ..operators import dedupe, matching, rows, versions
+from ..operators import dedupe, matching, rows, upserts, versions
 from .base import BOTH, CATALOG, catalog, query, staged, table
 
 # --- duplicates
@@ -141,6 +141,15 @@ def legacy_merge(spark: SparkSession, d: str) -> DataFrame:
     return versions.merged_one_to_one(catalog(spark, d).where("id % 3 <> 0"), staged(spark, d), ["title", "artist"], ["album"])
 
 
+@query()
+def transitive_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in order of their keys onto every third customer; an order that meets none is appended, and later ones of its customer or its day update it."""
+    base = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("status"), F.lit("").alias("priority"))
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    keys = F.array(F.concat(F.lit("c"), "o_custkey"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("d"), "day")))
+    return upserts.transitive_upsert(base, orders, "id", "o_orderkey", F.array(F.concat(F.lit("c"), "id")), keys, ["priority"], ["status"])
+
+
 # --- patches
 
 PATCHES = f"""WITH {CATALOG}, p AS (SELECT CAST(id AS VARCHAR) AS patch_id, id, CASE WHEN id % 10 = 1 THEN 'nothing' WHEN id % 10 = 2 THEN 'stale' ELSE artist END AS old_value, CASE WHEN id % 10 = 3 THEN artist ELSE 'new ' || artist END AS new_value, CASE WHEN id % 10 = 4 THEN 'composer' ELSE 'artist' END AS target_column, CASE WHEN id % 10 = 5 THEN 'none' ELSE CAST(id AS VARCHAR) END AS match_value, artist FROM catalog)"""

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -43,3 +43,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A new place in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as Parquet in the shared folder, read again: its lineage is cut, and a lost executor loses none of it."""
+    path = new_path(df.sparkSession, "curatrix")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
