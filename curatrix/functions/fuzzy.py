@@ -43,21 +43,24 @@ def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
 
-def title_similarity(a: Column, b: Column) -> Column:
-    """1 for equal cores, .99 where one contains the other, else their ratio; 0 for blanks."""
-    x, y = title_core(a), title_core(b)
+def title_similarity(x: Column, y: Column) -> Column:
+    """Of two title cores: 1 if equal, .99 where one contains the other, else their ratio; 0 for blanks."""
     return F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).when(x.contains(y) | y.contains(x), 0.99).otherwise(sequence_ratio(x, y))
 
 
-def artist_similarity(a: Column, b: Column) -> Column:
-    """At least .95 where one contains the other; .5 if a is blank."""
-    x, y = fuzzy_key(a), fuzzy_key(b)
+def artist_similarity(x: Column, y: Column) -> Column:
+    """Of two artist keys: at least .95 where one contains the other; .5 if x is blank."""
     ratio = sequence_ratio(x, y)
     return F.when(x == "", 0.5).when(y == "", 0.0).when(x == y, 1.0).when(x.contains(y) | y.contains(x), F.greatest(ratio, F.lit(0.95))).otherwise(ratio)
 
 
-def match_score(title: Column, artist: Column, other_title: Column, other_artist: Column) -> Column:
-    """Weighted similarity of two rows, with bonuses for close titles and artists, 1 at most."""
+def core_score(title: Column, artist: Column, other_title: Column, other_artist: Column) -> Column:
+    """match_score of title cores and artist keys made before."""
     t, a = title_similarity(title, other_title), artist_similarity(artist, other_artist)
-    same = (fuzzy_key(artist) != "") & (fuzzy_key(artist) == fuzzy_key(other_artist))
+    same = (artist != "") & (artist == other_artist)
     return F.least(F.lit(1.0), 0.72 * t + 0.28 * a + F.when(t > 0.97, 0.04).otherwise(0.0) + F.when(a > 0.9, 0.03).otherwise(0.0) + F.when(same, 0.05).otherwise(0.0))
+
+
+def match_score(title: Column, artist: Column, other_title: Column, other_artist: Column) -> Column:
+    """Weighted similarity of two rows, with bonuses for close titles and artists, 1 at most."""
+    return core_score(title_core(title), fuzzy_key(artist), title_core(other_title), fuzzy_key(other_artist))
