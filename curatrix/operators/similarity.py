@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import text_of
-from ..functions.values import bpm_score, jaccard, key_score
+from ..functions.values import RELATIVE_KEYS, bpm_score, jaccard, key_score
 
 TEMPO, KEY, ARTIST, LISTS = 30, 20, 25, 25
-BLOCK = 1000
 
 
 def reasons_score(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
@@ -33,22 +34,105 @@ def breakdown_score(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Col
     return {k: F.round(v, 4) for k, v in parts.items()} | {"total_score": F.round(total, 4)}
 
 
+@dataclass(frozen=True)
+class Likeness:
+    """A score of two rows that is a sum of parts, each over 0 only where something is shared: a number within width, an equal value, a tag.
+
+    score: as reasons_score; by: its total, rounded to within slack; over least. band: (column, width, reach: how far apart two numbers may be
+    for so many points, below 0 if they never give as many). equal: (most points, a row's value, the values that a target looks for).
+    tags: (most points, column)."""
+
+    score: Callable
+    by: str
+    least: float
+    band: tuple[str, float, Callable[[Column], Column]]
+    equal: list[tuple[float, Column, Column]]
+    tags: tuple[float, str]
+    slack: float = 0.01
+
+
+def reasons_likeness() -> Likeness:
+    value = lambda c: F.nullif(text_of(F.col(c)), F.lit(""))
+    reach = lambda points: F.when(points <= 0, 10).when(points <= TEMPO // 2, 10).when(points <= TEMPO, 5).otherwise(-1)
+    return Likeness(reasons_score, "similarity_score", 0, ("bpm", 10, reach), [(p, value(c), F.array(value(c))) for p, c in ((KEY, "key"), (ARTIST, "artist"))], (LISTS, "lists"))
+
+
+def breakdown_likeness() -> Likeness:
+    key, genre = F.nullif(F.trim(text_of(F.col("key"))), F.lit("")), F.nullif(F.lower(text_of(F.col("genre"))), F.lit(""))
+    relative = F.element_at(F.create_map(*[F.lit(x) for pair in RELATIVE_KEYS.items() for x in pair]), key)
+    reach = lambda points: F.when(points <= 0, 15.0).when(points <= 10, 15 * (1 - points / 10)).otherwise(-1.0)
+    return Likeness(breakdown_score, "total_score", 3, ("bpm", 15, reach), [(5, key, F.array(key, relative)), (5, genre, F.array(genre))], (10, "tags"))
+
+
 def sided(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[f"{prefix}{c}" for c in df.columns])
 
 
-def similar_to(df: DataFrame, targets: DataFrame, row_id: str, score, least: float, most: int, by: str, block: int = BLOCK) -> DataFrame:
-    """For each target (a row of df) the rows of df most similar to it: columns a_ of the target, b_ of the row, its scores and place; equal ones by id.
+def named(kind: str, *values: Column) -> Column:
+    """Names of posting lists: kind and one of each of the arrays of values."""
+    cross = lambda names, more: F.flatten(F.transform(names, lambda a: F.transform(more, lambda b: F.concat_ws("\x01", a, b))))
+    return reduce(cross, values[1:], F.transform(values[0], lambda v: F.concat_ws("\x01", F.lit(kind), v)))
 
-    Targets are put beside all rows in broadcast blocks of about `block` rows, a pass over df for each block: give a stated set of targets."""
-    blocks = max(1, -(-targets.count() // block))
-    rows = sided(df, "b_")
-    a, b = ({c: F.col(f"{p}{c}") for c in df.columns} for p in ("a_", "b_"))
 
-    def beside(k: int) -> DataFrame:
-        some = targets.where(F.pmod(F.xxhash64(row_id), F.lit(blocks)) == k)
-        both = rows.crossJoin(F.broadcast(sided(some, "a_"))).where(F.col(f"a_{row_id}") != F.col(f"b_{row_id}"))  # a block of targets
-        scored = both.withColumns(score(a, b)).where(F.col(by) > least)
-        return scored.withColumn("place", F.row_number().over(Window.partitionBy(f"a_{row_id}").orderBy(F.desc(by), f"b_{row_id}"))).where(F.col("place") <= most)
+def posting_names(parts: dict[str, Column], bands: dict[str, Column] | None = None, kinds: list[str] | None = None) -> Column:
+    """The names of a row's posting lists: of every two parts, and of every part. parts: arrays of values; bands: other values of the band, by list."""
+    names = list(parts)
+    pairs = [(a, b) for k, a in enumerate(names) for b in names[k + 1 :]]
+    lists = []
+    for pair in [*pairs, *[(a,) for a in names]]:
+        kind = "+".join(pair)
+        if kinds is None or kind in kinds:
+            values = [(bands or {}).get(kind, parts[x]) if x == "band" else parts[x] for x in pair]
+            lists.append(named(kind, *values))
+    return F.array_distinct(F.concat(*lists))
+
 
-    return reduce(DataFrame.unionByName, [beside(k) for k in range(blocks)])
+def top_similar(df: DataFrame, targets: DataFrame, row_id: str, like: Likeness, most: int) -> DataFrame:
+    """For each target (a row of df) the rows of df most similar to it: columns a_ of the target, b_ of the row, its scores and place; equal ones by id.
+
+    Rows are read from posting lists instead of being put beside every target. A list has the rows that share two parts (a tag and a key, a tempo and a
+    tag...) or one. First the least ids of some lists give each target a score that its last place has at least; then the lists are read that can
+    still hold a better row: lists of tempos only as far as the other part leaves points to be won, lists of one part only where that
+    part alone could do. Rows that are equal but for their id count by their `most` + 1 least ids, so copies make no list longer."""
+    value = F.col(like.band[0]).cast("double")
+    have = F.coalesce(value, F.lit(0.0)) != 0
+    one = lambda c: F.array_compact(F.array(c))
+    bucket = F.floor(value).cast("string")
+    tags = F.array_distinct(F.coalesce(F.transform(F.col(like.tags[1]), lambda x: F.coalesce(x, F.lit("\x02"))), F.array().cast("array<string>")))
+    row_parts = {"band": F.when(have, one(bucket)).otherwise(F.array().cast("array<string>"))} | {f"e{k}": one(v) for k, (_, v, _) in enumerate(like.equal)} | {"tag": tags}
+    target_parts = row_parts | {f"e{k}": F.array_distinct(F.array_compact(v)) for k, (_, _, v) in enumerate(like.equal)}
+    most_of = {f"e{k}": p for k, (p, _, _) in enumerate(like.equal)} | {"tag": like.tags[0]}
+    features = [c for c in df.columns if c != row_id]
+    copies = F.row_number().over(Window.partitionBy(*features).orderBy(row_id))
+    rows = df.withColumn("_copy", copies).where(F.col("_copy") <= most + 1).drop("_copy")
+    a, b = ({c: F.col(f"{p}{c}") for c in df.columns} for p in ("a_", "b_"))
+    equal = list(most_of)
+    sure = ["+".join((x, y)) for k, x in enumerate(equal) for y in equal[k + 1 :]]  # pairs without the band
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        full = pairs.join(sided(targets, "a_"), f"a_{row_id}").join(sided(rows, "b_"), f"b_{row_id}")
+        found = full.withColumns(like.score(a, b)).where(F.col(like.by) > like.least)
+        return found.withColumn("place", F.row_number().over(Window.partitionBy(f"a_{row_id}").orderBy(F.desc(like.by), f"b_{row_id}"))).where(F.col("place") <= most)
+
+    def joined(probes: DataFrame, index: DataFrame) -> DataFrame:
+        return probes.join(index, "_list").where(F.col(f"a_{row_id}") != F.col(f"b_{row_id}")).select(f"a_{row_id}", f"b_{row_id}").distinct()
+
+    # a score that the last place has at least, from the least ids of the lists of two parts
+    first_kinds = [*sure, *[f"band+{x}" for x in equal]]
+    asked = targets.select(F.col(row_id).alias(f"a_{row_id}"), F.explode(posting_names(target_parts, kinds=first_kinds)).alias("_list"))
+    entries = lambda kinds=None: rows.select(F.col(row_id).alias(f"b_{row_id}"), F.explode(posting_names(row_parts, kinds=kinds)).alias("_list"))
+    heads = entries(first_kinds).join(asked.select("_list").distinct(), "_list", "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy("_list").orderBy(f"b_{row_id}"))).where(F.col("_n") <= most + 1)
+    bound = scored(joined(asked, heads)).where(F.col("place") == most).select(F.col(f"a_{row_id}").alias(row_id), (F.col(like.by) - like.slack).alias("_least"))
+    known = targets.join(bound, row_id, "left").withColumn("_least", F.coalesce("_least", F.lit(float(like.least) - like.slack)))
+
+    def within(points: Column) -> Column:
+        """The buckets of numbers that can give so many points."""
+        far = like.band[2](points)
+        none = F.array().cast("array<string>")
+        return F.when(have & (far >= 0), F.transform(F.sequence(F.floor(value - far).cast("long"), F.floor(value + far).cast("long")), lambda x: x.cast("string"))).otherwise(none)
+
+    bands = {f"band+{x}": within(F.col("_least") - p) for x, p in most_of.items()} | {"band": within(F.col("_least"))}
+    alone = {x: F.when(F.lit(float(p)) >= F.col("_least"), target_parts[x]).otherwise(F.array().cast("array<string>")) for x, p in most_of.items()}
+    lists = F.concat(posting_names(target_parts, bands, [*sure, *bands]), *[named(x, alone[x]) for x in most_of])
+    probes = known.select(F.col(row_id).alias(f"a_{row_id}"), F.explode(F.array_distinct(lists)).alias("_list"))
+    return scored(joined(probes, entries()))

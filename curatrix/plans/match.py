@@ -245,7 +245,7 @@ TAGGED = "t AS (SELECT p_partkey AS id, p_size AS bpm, p_type AS key, p_brand AS
   SELECT a_id, b_id, similarity_score, CAST(place AS INTEGER) AS place FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY similarity_score DESC, b_id) AS place FROM s WHERE similarity_score > 0) WHERE place <= 50""")
 def similar_v1(spark: SparkSession, d: str) -> DataFrame:
     base = tagged(spark, d)
-    return similarity.similar_to(base, base.where("id % 100 = 0"), "id", similarity.reasons_score, 0, 50, "similarity_score").select("a_id", "b_id", "similarity_score", "place")
+    return similarity.top_similar(base, base.where("id % 100 = 0"), "id", similarity.reasons_likeness(), 50).select("a_id", "b_id", "similarity_score", "place")
 
 
 @query(f"""WITH {TAGGED}, s AS (SELECT a.id AS a_id, b.id AS b_id, 10.0::DOUBLE * (1.0::DOUBLE - abs(a.bpm - b.bpm)::DOUBLE / 15.0::DOUBLE) AS bpm_raw, abs(a.bpm - b.bpm) AS gap, CASE WHEN a.key = b.key THEN 10.0::DOUBLE ELSE 0.0::DOUBLE END AS same_key, 10.0::DOUBLE * (len(list_intersect(a.tags, b.tags))::DOUBLE / len(list_distinct(list_concat(a.tags, b.tags)))::DOUBLE) AS tag_score FROM t a, t b WHERE a.id % 100 = 0 AND a.id <> b.id),
@@ -254,4 +254,4 @@ def similar_v1(spark: SparkSession, d: str) -> DataFrame:
 def similar_v2(spark: SparkSession, d: str) -> DataFrame:
     """Key and genre are the same column here: 5 points each."""
     base = tagged(spark, d)
-    return similarity.similar_to(base, base.where("id % 100 = 0"), "id", similarity.breakdown_score, 3, 5, "total_score").select("a_id", "b_id", "total_score", "place")
+    return similarity.top_similar(base, base.where("id % 100 = 0"), "id", similarity.breakdown_likeness(), 5).select("a_id", "b_id", "total_score", "place")

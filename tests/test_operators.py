@@ -23,7 +23,7 @@ def test_duplicates_and_versions(spark):
 
 def test_similarity_v1(spark):
     df = spark.createDataFrame([(1, 120, "A", "Am", ["Rock", "Pop"]), (2, 122, "B", "C", ["Rock"]), (3, 140, "C", "D", [])], "id int, bpm int, artist string, key string, lists array<string>")
-    got = similarity.similar_to(df, df.where("id = 1"), "id", similarity.reasons_score, 0, 10, "similarity_score").select("b_id", "similarity_score", "reasons").collect()
+    got = similarity.top_similar(df, df.where("id = 1"), "id", similarity.reasons_likeness(), 10).select("b_id", "similarity_score", "reasons").collect()
     assert [tuple(r) for r in got] == [(2, 42.5, "Close BPM; Shared Playlists: Rock")]
 
 
