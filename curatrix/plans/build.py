@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as v
 from ..operators import catalog as build
-from ..sources import tables
+from ..sources import publish, tables
 from ..sources.session import new_path
 from .base import BOTH, CATALOG, catalog, query, staged, table
 
@@ -142,10 +142,10 @@ def zip_ingest(spark: SparkSession, d: str) -> DataFrame:
 def guarded_write(spark: SparkSession, d: str) -> DataFrame:
     active = table(spark, d, "part")
     candidate = active.where("p_size > 5")
-    seen = [tuple(tables.fingerprint(x).first()) for x in (active, candidate)]
-    path = new_path(spark, "guarded")
-    tables.guarded_overwrite(candidate, active, *seen, path)
-    return spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
+    root = new_path(spark, "guarded")
+    reviewed = publish.publish(active, root, None)
+    publish.guarded_publish(candidate, root, reviewed, tuple(tables.fingerprint(candidate).first()))
+    return publish.read_version(spark, root).agg(F.count("*").alias("n_rows"))
 
 
 @query("SELECT p_brand || ' — ' || p_name AS value, p_name AS artist, p_brand AS title, 'mix' AS playlist FROM part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as build
 from ..operators import dedupe, evidence, matching, rows
-from ..sources import tables
+from ..sources import publish, tables
 from ..sources.session import new_path
 from ..streaming import ledger
 from . import change, match
@@ -90,9 +90,9 @@ def replace_sink(spark: SparkSession, d: str) -> DataFrame:
     """A table that is loaded twice: the second load is all that stays."""
     path = new_path(spark, "replaced")
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
-    for rows_ in (part, part.where("p_size > 10")):
-        tables.replace_table(rows_.drop("p_size"), path)
-    return spark.read.parquet(path)
+    first = publish.publish(part.drop("p_size"), path, None)
+    publish.publish(part.where("p_size > 10").drop("p_size"), path, first)
+    return publish.read_version(spark, path)
 
 
 # --- filters, joins and groups

@@ -161,20 +161,6 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("hash_xor"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"))
 
 
-def guarded_overwrite(candidate: DataFrame, active: DataFrame, reviewed_active: tuple, reviewed_candidate: tuple, path: str, violations: int = 0) -> None:
-    """Writes the candidate only if it and the active table are still what was reviewed, and nothing was overwritten."""
-    if violations:
-        raise ValueError(f"{violations} overwrite violations")
-    for name, df, seen in (("active", active, reviewed_active), ("candidate", candidate, reviewed_candidate)):
-        if tuple(fingerprint(df).first()) != tuple(seen):
-            raise ValueError(f"the {name} table is not the one reviewed")
-    candidate.write.mode("overwrite").parquet(path)
-
-
-def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def flat_export(df: DataFrame, names: dict[str, str], notes: list[str], note: str = "notes") -> DataFrame:
     """Renamed columns, and several notes as one."""
     return df.select(*[F.col(a).alias(b) for a, b in names.items()], F.trim(F.concat_ws(" ", *[F.when(nonblank(F.col(c)), clean(F.col(c))) for c in notes])).alias(note))

@@ -148,17 +148,6 @@ def test_csv_and_observations(spark, tmp_path):
         tables.patch_manifest(df, ["patch_id"])
 
 
-def test_guarded_overwrite(spark, tmp_path):
-    active, candidate = catalog_of(spark, ("a", "b", "c")), catalog_of(spark, ("a", "b", "d"))
-    seen = [tuple(tables.fingerprint(x).first()) for x in (active, candidate)]
-    tables.guarded_overwrite(candidate, active, *seen, f"{tmp_path}/t")
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 1
-    with pytest.raises(ValueError):
-        tables.guarded_overwrite(candidate, active.union(active), *seen, f"{tmp_path}/t")
-    with pytest.raises(ValueError):
-        tables.guarded_overwrite(candidate, active, *seen, f"{tmp_path}/t", violations=1)
-
-
 def test_new_keys_only(spark, tmp_path):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string")
     tables.append_new(a, f"{tmp_path}/o", ["k"])
