@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..functions import values as v
-from ..operators import dedupe, matching, rows, upserts, versions
-from .base import BOTH, CATALOG, catalog, query, staged, table
+from ..operators import dedupe, difftree, matching, rows, upserts, versions
+from ..sources.session import new_path
+from .base import BOTH, ORACLES, CATALOG, catalog, query, staged, table
 
 # --- duplicates
 
@@ -90,6 +91,31 @@ def key_census(spark: SparkSession, d: str) -> DataFrame:
     return versions.key_census(catalog(spark, d), staged(spark, d), ["title", "artist"])
 
 
+def versions_of(spark: SparkSession, d: str, keys: list[str]) -> difftree.Difference:
+    """The catalog and the staged one, each written as a version with its tree of digests, and what differs."""
+    return difftree.Difference(*[difftree.Tree.write(df.drop("price"), keys, new_path(spark, "version")) for df in (catalog(spark, d), staged(spark, d))])
+
+
+@query(ORACLES["row_diff"])
+def tree_row_diff(spark: SparkSession, d: str) -> DataFrame:
+    """row_diff, of the keys only whose rows differ."""
+    left, right = versions_of(spark, d, ["title", "artist"]).rows()
+    return rows.multiset_difference(left, right, ["title", "artist"], ["id"]).select("title", "artist", "id")
+
+
+@query(ORACLES["field_diff"])
+def tree_field_diff(spark: SparkSession, d: str) -> DataFrame:
+    """field_diff, of the keys only whose rows differ."""
+    left, right = versions_of(spark, d, ["id"]).rows()
+    return versions.field_differences(left, right, ["id"], ["artist", "album", "bpm"], {"album": "key", "bpm": "number"})
+
+
+@query(ORACLES["key_census"])
+def tree_census(spark: SparkSession, d: str) -> DataFrame:
+    """key_census, from digests where the versions are equal."""
+    return versions_of(spark, d, ["title", "artist"]).census()
+
+
 @query("""SELECT p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN 'no_legacy_id' WHEN 1 THEN 'already_same' WHEN 2 THEN 'conflict_legacy_id_differs_from_track_id' WHEN 3 THEN 'needs_review_invalid_id_shape' ELSE 'safe_to_copy_legacy_id_to_track_id' END AS id_status FROM part""")
 def id_status(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("p_partkey")
