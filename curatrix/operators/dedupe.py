@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, compact_key, nonblank, or_null
 from ..functions.values import listed, year_in
+from .rows import with_rank
 
 #: Titles that name a version, and albums that collect older work.
 VERSION_WORDS = r"(?i)\b(live|remix|remaster(?:ed)?|edit|version|mix|demo|instrumental|karaoke|cover|extended|acoustic|alternate|night version|club|single version|album version)\b"
@@ -53,8 +54,10 @@ def keeper_order(album: Column, year: Column, completeness: Column, title: Colum
 
 def with_keeper(df: DataFrame, keys: list[str], order: list[Column], row_id: str) -> DataFrame:
     """df with keep_rank in its group (1: the keeper) and keeper_id."""
-    w = Window.partitionBy(*keys).orderBy(*order, F.col(row_id).asc())
-    return df.withColumns({"keep_rank": F.row_number().over(w), "keeper_id": F.first(row_id).over(w)})
+    ranked = with_rank(df, keys, [*order, F.col(row_id).asc()], "keep_rank").withColumn("keep_rank", F.col("keep_rank").cast("int"))
+    keepers = ranked.where("keep_rank = 1").select(*[F.col(k).alias(f"_keep_{k}") for k in keys], F.col(row_id).alias("keeper_id"))
+    on = [F.col(k).eqNullSafe(F.col(f"_keep_{k}")) for k in keys]
+    return ranked.join(keepers, on).drop(*[f"_keep_{k}" for k in keys])
 
 
 def folded(df: DataFrame, keys: list[str], rank: str, scalars: list[str], lists: list[str], separators: str = ";") -> DataFrame:

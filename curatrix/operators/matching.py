@@ -65,7 +65,8 @@ def all_variant_hits(queries: DataFrame, query_id: str, query_keys: Column, inde
 
 def unambiguous(df: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose key no other row has."""
-    return df.withColumn("_n", F.count("*").over(Window.partitionBy(*keys))).where("_n = 1").drop("_n")
+    sole = df.groupBy(*[F.col(k).alias(f"_sole_{k}") for k in keys]).agg(F.count("*").alias("_n")).where("_n = 1")  # counted before the join: a key of many rows is never held together
+    return df.join(sole, [F.col(k).eqNullSafe(F.col(f"_sole_{k}")) for k in keys], "left_semi")
 
 
 def match_waterfall(df: DataFrame, row_id: str, title: Column, artist: Column, official: DataFrame, official_id: str, official_title: Column, official_artist: Column, key=song_key) -> DataFrame:

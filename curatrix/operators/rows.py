@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, compact_key, is_blank, nonblank, or_null, search_text, text_of
+from ..sources.session import written
 
 # --- projections
 
@@ -129,10 +130,29 @@ def row_slice(df: DataFrame, number: str, start: int = 0, stop: int | None = Non
     return df.where((F.col(number) >= start) & (F.col(number) < end))
 
 
+def with_rank(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    """df with each row's place (from 1) in its key's order, also where one key has most rows: rows are dealt by ranges of key and order,
+    numbered in each range, and a key that runs on from one range to the next goes on counting. order should be total within a key."""
+    ordered = [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = df.repartitionByRange(*keys, *ordered).withColumn("_range", F.spark_partition_id())
+    ranged = written(ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_range", *keys).orderBy(*ordered))))  # written once: another evaluation may draw other ranges
+    named = lambda d: d.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    key = F.struct(*[F.col(k).alias(k) for k in keys])
+    ends = ranged.groupBy("_range").agg(F.min(key).alias("a"), F.max(key).alias("b"))  # two keys a range can be in others too
+    edge = named(ends.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct())
+    sizes = ranged.join(F.broadcast(edge), same, "left_semi").groupBy("_range", *keys).count()
+    before = F.sum("count").over(Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.withColumn("_before", before).where("_before > 0")
+    offsets = offsets.select(F.col("_range").alias("_r"), "_before", *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])  # two rows a range at most
+    joined = ranged.join(F.broadcast(offsets), same & (F.col("_range") == F.col("_r")), "left")
+    return joined.withColumn(name, F.col("_in") + F.coalesce("_before", F.lit(0))).drop("_range", "_in", "_r", "_before", *[f"_key{i}" for i in range(len(keys))])
+
+
 def numbered_groups(groups: DataFrame, order: list[str], prefix: str, name: str = "group_id") -> DataFrame:
     """groups (one row each) with PREFIX_0001 and so on in order: counted in ranges, no global window."""
     ranged = groups.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_in", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
-    ranged = ranged.persist()
+    ranged = written(ranged)
     sizes = ranged.groupBy("_range").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(F.col("_range").alias("_r"), "_before")
     return ranged.join(F.broadcast(sizes), F.col("_range") == F.col("_r")).withColumn(name, F.format_string(prefix + "_%04d", F.col("_before") + F.col("_in"))).drop("_range", "_in", "_r", "_before")
 
@@ -147,7 +167,7 @@ def union_open(*frames: DataFrame) -> DataFrame:
 def multiset_difference(left: DataFrame, right: DataFrame, signature: list[str], order: list) -> DataFrame:
     """Rows of left beyond as many of the same signature as right has, the last ones in order."""
     have = right.groupBy(*[F.col(s).alias(f"_{s}") for s in signature]).agg(F.count("*").alias("_have"))
-    numbered = left.withColumn("_n", F.row_number().over(Window.partitionBy(*signature).orderBy(*order)))
+    numbered = with_rank(left, signature, order, "_n")
     on = reduce(lambda a, b: a & b, [F.col(s).eqNullSafe(F.col(f"_{s}")) for s in signature])
     return numbered.join(have, on, "left").where(F.col("_n") > F.coalesce("_have", F.lit(0))).select(*left.columns)
 

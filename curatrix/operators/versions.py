@@ -49,9 +49,9 @@ def overwritten(old: Column, new: Column) -> Column:
 def patch_candidate(active: DataFrame, staged: DataFrame, keys: list[str], row_id: str, fields: list[str], copied: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(active with blanks filled from staged rows of the same unambiguous key, log of the cells filled). Nothing filled is overwritten. copied: columns of active that take another column's id where that is safe."""
     source = unambiguous(staged, keys).select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).cast("string").alias(f"_s_{c}") for c in fields])
-    sole = F.count("*").over(Window.partitionBy(*keys)) == 1
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys], F.col("_sole"))
-    joined = active.withColumn("_sole", sole).join(source, on, "left")
+    sole = active.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n = 1").select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    joined = active.join(source.join(sole, [f"_k_{k}" for k in keys]), on, "left")
     new = {c: F.coalesce(or_null(F.col(c)), or_null(F.col(f"_s_{c}")), text_of(F.col(c))) for c in fields}
     for c, legacy in (copied or {}).items():
         new[c] = F.when(id_status(F.col(legacy), F.col(c)).startswith("safe"), clean(F.col(legacy))).otherwise(text_of(F.col(c)))
@@ -105,10 +105,9 @@ def official_outcome(target_known: Column, matches: Column, now: Column, expecte
 def cell_patch_outcomes(table: DataFrame, patches: DataFrame, match_columns: list[str], target_columns: list[str]) -> DataFrame:
     """patches (patch_id, seq, match_column, match_value, target_column, old_value, new_value) with row_key, outcome and value_after.
 
-    Patches of one cell are applied in order of seq, each on what the one before left: a value that is new already is
+    table needs row_key, which no two rows share. Patches of one cell are applied in order of seq, each on what the one before left: a value that is new already is
     already_applied, one that is not the old value is skipped as stale. A match column must not be patched itself. place tells the order within a cell."""
-    index = table.withColumn("row_key", F.monotonically_increasing_id() if "row_key" not in table.columns else F.col("row_key"))
-    cells = index.select("row_key", *[text_of(F.col(c)).alias(c) for c in dict.fromkeys([*match_columns, *target_columns])])
+    cells = table.select("row_key", *[text_of(F.col(c)).alias(c) for c in dict.fromkeys([*match_columns, *target_columns])])
     found = cells.unpivot(["row_key"], match_columns, "_mc", "_mv").groupBy("_mc", "_mv").agg(F.count("*").alias("_hits"), F.min("row_key").alias("row_key"))
     now = cells.unpivot(["row_key"], target_columns, "_tc", "_now").withColumnRenamed("row_key", "_row")
     joined = patches.join(found, (F.col("match_column") == F.col("_mc")) & (F.col("match_value") == F.col("_mv")), "left")
