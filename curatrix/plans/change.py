@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..functions import values as v
-from ..operators import dedupe, difftree, matching, rows, upserts, versions
+from ..operators import dedupe, difftree, matching, official, rows, upserts, versions
 from ..sources.session import new_path
-from .base import BOTH, ORACLES, CATALOG, catalog, query, staged, table
+from .base import BOTH, CATALOG, ORACLES, catalog, query, staged, table, sql_match
 
 # --- duplicates
 
@@ -256,6 +256,52 @@ def apply_official(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(k.alias("id"), outcome.alias("outcome"))
 
 
+# Promotions of every third row's album and of a column that the catalog lacks, one for each order line; every eleventh entity has an artist of its own.
+OFFICIAL = f"""WITH {CATALOG}, o AS (SELECT id AS row_key, title AS "Title", artist AS "Artist", album AS "Album", {sql_match('title')} AS t, {sql_match('artist')} AS a FROM catalog),
+  e AS (SELECT id, upper(title) AS seed_title, CASE WHEN id % 11 = 0 THEN 'Nobody' ELSE artist END AS seed_artist FROM catalog WHERE id % 3 = 0),
+  p AS (SELECT l_orderkey * 8 + l_linenumber AS n, l_partkey, CASE l_linenumber % 3 WHEN 0 THEN 'mood' ELSE 'album' END AS target_field, CASE WHEN l_linenumber = 4 THEN p_type ELSE 'Flag ' || l_returnflag END AS promoted_value FROM lineitem JOIN part ON l_partkey = p_partkey),
+  b AS (SELECT t, a, count(*) AS n, min(row_key) AS k FROM o GROUP BY 1, 2), t1 AS (SELECT t, count(*) AS n, min(row_key) AS k FROM o GROUP BY 1),
+  m AS (SELECT p.n, p.l_partkey, coalesce(e.seed_title, '') AS seed_title, coalesce(e.seed_artist, '') AS seed_artist, target_field, CASE target_field WHEN 'album' THEN 'Album' ELSE target_field END AS target_column, promoted_value,
+    CASE WHEN b.n = 1 THEN 'matched_exact_title_artist' WHEN b.n > 1 THEN 'ambiguous_multiple_title_artist_matches' WHEN t1.n = 1 THEN 'matched_title_only' WHEN t1.n > 1 THEN 'ambiguous_multiple_title_matches' ELSE 'not_found' END AS official_match_status, CASE WHEN b.n >= 1 THEN b.k ELSE t1.k END AS k
+    FROM p LEFT JOIN e ON p.l_partkey = e.id LEFT JOIN b ON b.t = {sql_match("coalesce(e.seed_title, '')")} AND b.a = {sql_match("coalesce(e.seed_artist, '')")} LEFT JOIN t1 ON t1.t = {sql_match("coalesce(e.seed_title, '')")}),
+  x AS (SELECT m.*, CASE WHEN target_column = 'Album' THEN coalesce(o."Album", '') ELSE '' END AS current_value FROM m LEFT JOIN o ON o.row_key = m.k),
+  y AS (SELECT *, CASE WHEN official_match_status = 'not_found' OR official_match_status LIKE 'ambiguous%' THEN 'manual_match_required' WHEN current_value = promoted_value AND current_value <> '' THEN 'no_change' ELSE 'update_existing' END AS patch_action FROM x),
+  z AS (SELECT *, min(CASE WHEN target_column = 'Album' AND promoted_value <> current_value THEN n END) OVER (PARTITION BY k, target_column) AS first FROM y WHERE patch_action = 'update_existing' AND official_match_status = 'matched_exact_title_artist')"""
+
+
+def official_catalog(spark: SparkSession, d: str) -> DataFrame:
+    return catalog(spark, d).select(F.col("id").alias("row_key"), F.col("title").alias("Title"), F.col("artist").alias("Artist"), F.col("album").alias("Album"))
+
+
+def promoted_patches(spark: SparkSession, d: str) -> DataFrame:
+    c = F.col
+    entities = catalog(spark, d).where("id % 3 = 0").select(c("id").alias("entity_id"), F.upper("title").alias("seed_title"), F.when(c("id") % 11 == 0, "Nobody").otherwise(c("artist")).alias("seed_artist"))
+    lines = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_type"), c("l_partkey") == c("p_partkey"))
+    n = c("l_orderkey") * 8 + c("l_linenumber")
+    field = F.when(c("l_linenumber") % 3 == 0, "mood").otherwise("album")
+    promotions = lines.select(n.cast("string").alias("promotion_id"), n.cast("long").alias("order"), c("l_partkey").alias("entity_id"), field.alias("target_field"), F.when(c("l_linenumber") == 4, c("p_type")).otherwise(F.concat(F.lit("Flag "), "l_returnflag")).alias("promoted_value"), F.lit('{"supporting_sources": "a:1"}').alias("evidence_json"))
+    return official.official_patches(promotions, entities, official_catalog(spark, d), "row_key")
+
+
+@query(f"{OFFICIAL} SELECT CAST(n AS VARCHAR) AS promotion_id, seed_title, official_match_status, target_column, current_value, promoted_value, patch_action, 'a:1' AS supporting_sources FROM y")
+def official_export(spark: SparkSession, d: str) -> DataFrame:
+    """Promotions with their entities, their match in the official catalog and what is to be done."""
+    return promoted_patches(spark, d).select("promotion_id", "seed_title", "official_match_status", "target_column", "current_value", "promoted_value", "patch_action", "supporting_sources")
+
+
+@query(f"""{OFFICIAL} SELECT CAST(n AS VARCHAR) AS promotion_id, CASE WHEN target_column <> 'Album' THEN 'missing_target_column' WHEN first IS NULL OR n < first THEN 'already_current' WHEN n = first THEN 'applied' ELSE 'stale_current_value' END AS outcome FROM z""")
+def official_log(spark: SparkSession, d: str) -> DataFrame:
+    """What became of each approved patch: the first of a cell is applied, and those after it are stale."""
+    return official.official_outcomes(official_catalog(spark, d), promoted_patches(spark, d), "row_key", "order").select("promotion_id", "outcome")
+
+
+@query(f"""{OFFICIAL} SELECT row_key, "Title", "Artist", coalesce(promoted_value, "Album") AS "Album" FROM o LEFT JOIN z ON z.k = o.row_key AND z.n = z.first""")
+def official_patched(spark: SparkSession, d: str) -> DataFrame:
+    """The official catalog with its patches applied."""
+    done = official.official_outcomes(official_catalog(spark, d), promoted_patches(spark, d), "row_key", "order")
+    return official.officially_patched(official_catalog(spark, d), done, "row_key")
+
+
 # --- decisions
 
 
