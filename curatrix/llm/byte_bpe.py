@@ -2,7 +2,8 @@
 
 A text of up to CHUNK characters is one piece. Longer ones are cut into chunks that reach OVERLAP characters into the
 next; all chunks are pre-tokenised in parallel. Where a chunk and the next both start a pre-token at the same character
-of the overlap, they agree from there on, as the pattern looks ahead only: that is the seam. The pieces between
+of the overlap, they agree from there on, as the pattern looks ahead only: that is the seam, if no white space is before
+it (at a piece's end the pattern would take a run of white space whole, which it leaves a character of before other text). The pieces between
 seams are encoded on their own, also in parallel, and their ids joined in order. A text with an overlap where they
 never agree (a pre-token longer than the overlap) is encoded in one piece. Decoding joins the bytes of the ids.
 
@@ -53,7 +54,8 @@ def boundaries(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
                 text = body.as_py()
                 starts = np.array([m.start() for m in pattern().finditer(text)], np.int32)
                 heads.append(starts[starts < overlap])
-                tails.append(starts[(starts >= chunk) & (starts <= len(text) - MARGIN)] - chunk)
+                after = starts[(starts >= chunk) & (starts <= len(text) - MARGIN)]
+                tails.append(np.array([k for k in after.tolist() if not text[k - 1].isspace()], np.int32) - chunk)
             lists = [pa.array(x, pa.list_(pa.int32())) for x in (heads, tails)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "chunk", "chunks")), *lists], ["key", "chunk", "chunks", "head", "tail"])
 
