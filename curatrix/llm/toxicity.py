@@ -8,8 +8,8 @@ are clearly more frequent among toxic than among unlabelled texts are chosen by
 of a text than these few. The prior is the toxic share of the labelled rows; in the end the intercept is set so that
 the mean score of unlabelled texts equals it.
 
-The fit takes at most MAX_TOXIC toxic and MAX_UNLABELLED unlabelled texts, by a hash of their ids, whatever the corpus'
-size. Labels of held-out rows (crc32 of the id as text, modulo 4, is 2) are never read. Every text is scored whole.
+The fit takes at most MAX_TOXIC toxic and MAX_UNLABELLED unlabelled texts, by a hash of their ids, then of id and text where an id has many texts,
+each text of an id once, whatever the corpus' size. Labels of held-out rows (crc32 of the id as text, modulo 4, is 2) are never read. Every text is scored whole.
 
 Defined results: null and blank texts get the score of the intercept alone; without any toxic label all scores are the
 same small number; repeated rows come out once each; null ids are not held out and not fitted on.
@@ -84,8 +84,13 @@ def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     place = lambda c: F.pmod(F.xxhash64(c, F.lit("fit")), F.lit(1 << 30)) / (1 << 30)
     chosen = known.where((F.col("toxic") == 1) & (place("doc_id") < MAX_TOXIC / max(toxic, 1))).select(F.col("doc_id").alias("_id"), F.lit(True).alias("toxic"))
     rows = free.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")  # about MAX_TOXIC rows at most
-    rows = rows.select("text", F.coalesce("toxic", F.lit(False)).alias("toxic"), (place("doc_id") < MAX_UNLABELLED / max(every, 1)).alias("unlabelled"))
-    return stored(rows.where("toxic OR unlabelled")), toxic / n if n else 0.0
+    rows = rows.select("text", F.coalesce("toxic", F.lit(False)).alias("toxic"), (place("doc_id") < MAX_UNLABELLED / max(every, 1)).alias("unlabelled"), F.xxhash64("doc_id", "text", F.lit("row")).alias("_h"))
+    rows = stored(rows.where("toxic OR unlabelled").dropDuplicates(["_h"]))
+    for flag, most in (("toxic", MAX_TOXIC), ("unlabelled", MAX_UNLABELLED)):  # an id can have any number of texts
+        if rows.where(flag).count() > most:
+            last = rows.where(flag).select("_h").orderBy("_h").limit(most).agg(F.max("_h")).first()[0]
+            rows = rows.withColumn(flag, F.col(flag) & (F.col("_h") <= last))
+    return rows.where("toxic OR unlabelled").drop("_h"), toxic / n if n else 0.0
 
 
 def chosen_features(rows: DataFrame) -> np.ndarray:
@@ -131,6 +136,7 @@ def reduced(rows: DataFrame, chosen: np.ndarray) -> pa.Table:
 
 def fit(rows: pa.Table, n_features: int, prior: float) -> tuple[np.ndarray, float]:
     """Weights and intercept, by Adam on the non-negative risk with logistic loss."""
+    assert rows.num_rows <= MAX_TOXIC + MAX_UNLABELLED
     rows = rows.combine_chunks()
     toxic, free = (np.flatnonzero(rows.column(c).to_numpy()) for c in ("toxic", "unlabelled"))
     places, value = (pa.concat_arrays(rows.column(c).chunks).flatten().to_numpy() for c in ("places", "values"))
