@@ -27,6 +27,7 @@ from .common import table
 from .encoders import rank_file
 
 CHUNK, OVERLAP = 32_768, 512
+SLICE = 256
 #: Characters before a chunk's end where the pattern might match otherwise with more text: its longest alternative of fixed letters.
 MARGIN = 4
 
@@ -36,6 +37,13 @@ def pattern():
     return regex.compile(public_tokenizers.PATTERN)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of SLICE rows: what is made of one is held while the next is made, on both sides of the pipe."""
+    for batch in batches:
+        for lo in range(0, max(len(batch), 1), SLICE):
+            yield batch.slice(lo, SLICE)
+
+
 def chunked(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(id, key, chunk, chunks, body) of the texts over one chunk. key: the same for all chunks of a text."""
     size = F.char_length("text")
@@ -48,7 +56,7 @@ def boundaries(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(key, chunk, chunks, head, tail): the pre-token starts in a chunk's first characters, and those in its overlap with the next, both from where the overlap begins."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             heads, tails = [], []
             for body in batch.column("body"):
                 text = body.as_py()
@@ -78,7 +86,7 @@ def encoded(rows: DataFrame, ranks: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = rank_file(ranks)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.array(encoder.encode_ordinary(x.as_py() or ""), "<u4").tobytes() for x in batch.column("body")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(ids, pa.binary())], [*kept, "ids"])
 
@@ -113,7 +121,7 @@ def decode_documents(coded: DataFrame, ranks: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = rank_file(ranks)
-        for batch in batches:
+        for batch in slices(batches):
             out = [decoder.decode_bytes(np.frombuffer(x.as_py(), "<u4").tolist()) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*kept, "decoded"])
 
