@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, is_blank, is_track_id, nonblank, or_null, text_of
-from ..functions.values import comparable_value, edition_score, value_of
+from ..functions.values import added_to_list, comparable_value, edition_score, value_of
 from .matching import unambiguous
 
 
@@ -88,6 +88,31 @@ def merged_one_to_one(base: DataFrame, legacy: DataFrame, keys: list[str], field
     return both.select(*keys, outcome.alias("outcome"), *[F.coalesce(f"b_{c}", f"l_{c}").alias(c) for c in fields])
 
 
+def merged_catalog(base: DataFrame, legacy: DataFrame, keys: list[str], fields: list[str], renamed: dict[str, str] | None = None, lists: dict[str, str] | None = None) -> DataFrame:
+    """base after a merge with legacy, all its rows and those appended, with outcome and n_filled (cells filled from legacy).
+
+    A base row whose key one row has on each side takes legacy's values where it is blank (filled; kept if nothing is taken); rows of a key that several have on
+    either side stay as they were (ambiguous); legacy rows whose key base lacks are appended, all of them. renamed: base columns that another column of
+    legacy fills. lists: texts that are added to list columns of rows with anything from legacy. Keys are counted before rows are joined."""
+    sources = {c: c for c in fields} | (renamed or {})
+    counts = lambda df, n: df.groupBy(*keys).agg(F.count("*").alias(n)).select(*[F.col(k).alias(f"_{n}_{k}") for k in keys], n)
+    on = lambda n: reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{n}_{k}")) for k in keys])
+    mine, theirs = counts(base, "_mine"), counts(legacy, "_theirs")
+    sole = legacy.join(theirs.where("_theirs = 1"), on("_theirs"), "left_semi").select(*[F.col(k).alias(f"__sole_{k}") for k in keys], F.struct(*[or_null(F.col(c)).alias(f"v{i}") for i, c in enumerate(sources.values())]).alias("_new"))
+    rows = base.join(mine, on("_mine"), "left").join(theirs, on("_theirs"), "left").join(sole, on("_sole"), "left")
+    one = (F.col("_mine") == 1) & F.coalesce(F.col("_theirs") == 1, F.lit(False))
+    taken = {c: one & is_blank(F.col(c)) & F.col(f"_new.v{i}").isNotNull() for i, c in enumerate(sources)}
+    n = sum((F.coalesce(t, F.lit(False)).cast("int") for t in taken.values()), F.lit(0))
+    rows = rows.withColumn("n_filled", n)
+    filled_in = {c: F.when(t, F.col(f"_new.v{i}")).otherwise(F.col(c)) for i, (c, t) in enumerate(taken.items())}
+    filled_in |= {c: F.when(F.col("n_filled") > 0, added_to_list(F.col(c), F.lit(text))).otherwise(F.col(c)) for c, text in (lists or {}).items()}
+    outcome = F.when(F.col("_theirs").isNull(), "kept").when(~one, "ambiguous").when(F.col("n_filled") > 0, "filled").otherwise("kept")
+    kept = rows.select(*[filled_in.get(c, F.col(c)).alias(c) for c in base.columns], outcome.alias("outcome"), "n_filled")
+    have = {c: or_null(F.col(k)) for c, k in sources.items() if c in base.columns} | {k: F.col(k) for k in keys} | {c: F.lit(text) for c, text in (lists or {}).items()}
+    new = legacy.join(mine, on("_mine"), "left_anti").select(*[have.get(c, F.lit(None)).alias(c) for c in base.columns], F.lit("appended").alias("outcome"), F.lit(0).alias("n_filled"))
+    return kept.unionByName(new)
+
+
 def official_patch(promotions: DataFrame, columns: dict[str, str], current: dict[str, Column], field: str, value: str, status: str) -> DataFrame:
     """promotions with target_column, current_value and patch_action. columns: promoted field -> official column."""
     target = F.element_at(F.create_map(*[F.lit(x) for p in columns.items() for x in p]), F.col(field))
