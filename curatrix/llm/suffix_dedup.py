@@ -16,7 +16,7 @@ the same one. All occurrences of such a string have to meet in one place without
 3. Each block removes what its own copies, the copies told in step 1 and the spans of step 2 cover.
 
 A minimizer with more than MOST_SEGMENTS different segments is split: each part takes the windows whose own hash
-falls to it, so that equal windows still meet; no group grows with the corpus and none is cut short.
+falls to it, so that equal windows still meet; none is cut short. Segments that differ round one shared window meet in one part, however many they are.
 
 Defined results: null texts are empty; texts shorter than `length` stay whole; rows with the same id count as different
 documents, in a fixed order of their own; null ids come before all others. Matches never cross documents. A cut
