@@ -275,10 +275,26 @@ def shown(value: str | None) -> str:
         value = unquote(value)
     kinds = {**dict.fromkeys(SPACES, " "), **dict.fromkeys(APOSTROPHES, "'"), **dict.fromkeys(QUOTES, '"'), **dict.fromkeys(DASHES, "-"), **dict.fromkeys(TILDES, "~")}
     value = unicodedata.normalize("NFKC", "".join(kinds.get(x, x) for x in value))
-    return " ".join("".join(x for x in value if x in "\t\n\r" or unicodedata.category(x) not in ("Cf", "Cc")).split())
+    return " ".join(value.translate(_VISIBLE).split())
 
 
 def searched(value: str) -> str:
     """match_text of one value."""
     plain = unicodedata.normalize("NFKD", value)
-    return " ".join("".join(x for x in plain if x.isspace() or x in "_.,-" or unicodedata.category(x)[0] in "LN").split()).lower()
+    return " ".join(plain.translate(_SEARCHED).split()).lower()
+
+
+class Kept(dict):
+    """For str.translate: drops the characters that a test refuses, which is asked once for each."""
+
+    def __init__(self, test: Callable[[str], bool]):
+        super().__init__()
+        self.test = test
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = code if self.test(chr(code)) else None
+        return self[code]
+
+
+_VISIBLE = Kept(lambda x: x in "\t\n\r" or unicodedata.category(x) not in ("Cf", "Cc"))
+_SEARCHED = Kept(lambda x: x.isspace() or x in "_.,-" or unicodedata.category(x)[0] in "LN")
