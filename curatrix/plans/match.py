@@ -212,9 +212,9 @@ def promotion_candidates(spark: SparkSession, d: str) -> DataFrame:
     return evidence.promotion_candidates(rows_, "entity", {"title": "t", "album": "a"})
 
 
-@query(f"WITH {ATTEMPTS} SELECT entity, attempt_id, CAST(place AS INTEGER) AS place FROM (SELECT entity, attempt_id, row_number() OVER (PARTITION BY entity ORDER BY score DESC, attempt_id) AS place FROM attempts WHERE verdict <> 'rejected' AND entity IN (SELECT p_partkey FROM part WHERE p_size < 10))")
+@query(f"WITH {ATTEMPTS} SELECT entity, attempt_id, CAST(place AS INTEGER) AS place FROM (SELECT entity, attempt_id, row_number() OVER (PARTITION BY entity ORDER BY score DESC, attempt_id) AS place FROM attempts WHERE verdict <> 'rejected' AND entity IN (SELECT p_partkey FROM part))")
 def supporting_attempts(spark: SparkSession, d: str) -> DataFrame:
-    wanted = table(spark, d, "part").where("p_size < 10").select(F.col("p_partkey").alias("entity"))
+    wanted = table(spark, d, "part").select(F.col("p_partkey").alias("entity"))
     return evidence.supporting_attempts(attempts(spark, d), wanted, "entity", "attempt_id").select("entity", "attempt_id", "place")
 
 
