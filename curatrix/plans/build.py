@@ -148,9 +148,13 @@ def guarded_write(spark: SparkSession, d: str) -> DataFrame:
     return publish.read_version(spark, root).agg(F.count("*").alias("n_rows"))
 
 
-@query("SELECT p_brand || ' — ' || p_name AS value, p_name AS artist, p_brand AS title, 'mix' AS playlist FROM part")
+@query("SELECT p_brand || ' — ' || p_name AS value, p_name AS artist, p_brand AS title, replace(p_brand, '#', '') AS playlist FROM part")
 def playlist_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "part").select(F.concat("p_brand", F.lit(" — "), "p_name").alias("value"))
-    return tables.playlist_lines(lines, file_name=F.lit("mix-videos.csv")).select("value", "artist", "title", "playlist")
+    """Files on disk, named after their playlists, several of one name in folders of their own."""
+    path = new_path(spark, "playlists")
+    lines = table(spark, d, "part").select(F.concat("p_brand", F.lit(" — "), "p_name").alias("value"), F.replace("p_brand", F.lit("#"), F.lit("")).alias("playlist"), F.pmod(F.xxhash64("p_partkey"), F.lit(4)).alias("part"))
+    lines.repartition("playlist", "part").drop("part").write.partitionBy("playlist").text(f"{path}/written")
+    tables.moved(spark, f"{path}/written/playlist=*/*.txt", lambda k, name: f"{path}/files/{k}/{name.rpartition('/')[0].rpartition('=')[2]}-videos.csv")
+    return tables.playlist_lines(spark.read.text(f"{path}/files/*/*-videos.csv")).select("value", "artist", "title", "playlist")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -70,6 +70,19 @@ def playlist_lines(lines: DataFrame, value: str = "value", file_name: Column | N
     return rows.withColumns({"title": F.trim(F.get("_parts", F.lit(0))), "artist": F.trim(F.get("_parts", F.lit(1))), "playlist": F.regexp_replace(F.regexp_replace("_file", r"\.[^.]*$", ""), r"-videos$", "")}).drop("_file", "_parts")
 
 
+def moved(spark: SparkSession, pattern: str, to: Callable[[int, str], str]) -> int:
+    """Renames the files that a glob pattern finds: to gets a file's place and path. How many there were; their content is not read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(pattern).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(s.getPath().toString() for s in fs.globStatus(path(pattern)))
+    for k, name in enumerate(found):
+        new = path(to(k, name))
+        fs.mkdirs(new.getParent())
+        if not fs.rename(path(name), new):
+            raise OSError(f"{name} is not renamed to {new}")
+    return len(found)
+
+
 def files_under(spark: SparkSession, path: str, extensions: tuple[str, ...] = ("csv", "txt", "zip")) -> DataFrame:
     """(path, extension, size, modified, content, sha256) of all files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
