@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import indel_ratio, match_score
 from ..functions.text import clean, clean_artist, clean_title, looks_suspicious, match_text, nonblank, repaired, text_of
-from ..functions.values import short_id, tags_in
+from ..functions.values import search_url, short_id, tags_in
 from .evidence import repair_decision, text_confidence
 from .rows import first_per_key
 
@@ -31,7 +31,9 @@ def with_song_defaults(recordings: DataFrame, song_rows: DataFrame, columns: dic
 
 
 def title_candidates(df: DataFrame, title: str, artist: str) -> DataFrame:
-    """df with a row for each reading of a messy title: position, cand_title, cand_artist, note. The first is the cleaned row itself."""
+    """df with a row for each reading of a messy title: position, cand_title, cand_artist, note. The first is the cleaned row itself.
+
+    Notes are fixed values: of a title split at a separator, the reading with the left part as title is noted left=artist, and the other left=title."""
     t, a = clean(F.col(title)), clean(F.col(artist))
     one = lambda x, y, note: F.struct(clean(x).alias("cand_title"), clean(y).alias("cand_artist"), F.lit(note).alias("note"))
     readings = [one(clean_title(t), clean_artist(a), "current_cleaned"), one(t, clean_artist(a), "raw_title_cleaned_artist"), one(clean_title(t), a, "cleaned_title_raw_artist")]
@@ -45,10 +47,11 @@ def title_candidates(df: DataFrame, title: str, artist: str) -> DataFrame:
 
     for s in SEPARATORS:
         left, right = clean(F.substring_index(t, s, 1)), clean(F.when(t.contains(s), F.substring(t, F.instr(t, s) + len(s), F.length(t))).otherwise(""))
-        readings += both_ways(left, right, f"split:{s}:left=artist", f"split:{s}:left=title", t.contains(s))
+        readings += both_ways(right, left, f"split:{s}:left=artist", f"split:{s}:left=title", t.contains(s))
     parts = F.split(t, r"(?i)\s+(?:feat\.?|featuring|ft\.?)(?:\s+|\b)", 2)
     guest = clean(F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
     readings += both_ways(guest, clean(F.get(parts, F.lit(0))), "feat_split", "feat_split_reversed", F.size(parts) == 2)
+    readings.append(F.when(clean_title(t) != t, one(clean_title(t), clean_artist(a), "title_noise_stripped")))
     named = F.filter(F.array_distinct(F.array_compact(F.array(*readings))), lambda x: x["cand_title"] != "")
     return df.select("*", F.posexplode(named).alias("position", "_c")).select(*df.columns, "position", "_c.*")
 
@@ -104,6 +107,38 @@ def suggestions(df: DataFrame, row_id: str, tags: Column, categories: dict[str,
     return df.select(row_id, F.inline(F.concat(*lists)))
 
 
+#: What a performance has where nothing is known of it, and the searches of a record: site -> start, what is preferred.
+PERFORMANCE = {
+    "tuning": "Standard", "capo": "None", "guitar_difficulty": "Intermediate", "bass_difficulty": "Novice", "drum_difficulty": "Novice", "vocal_range": "", "instrumentation": "Vocals, Guitar, Bass, Drums",
+    "arrangement_notes": "Standard rock/pop arrangement", "source_url": "Generative Suggestion", "confidence": "Low", "notes": "Auto-filled standard defaults; requires manual tuning verification.",
+}
+SEARCHES = {
+    "Ultimate Guitar": ("https://www.ultimate-guitar.com/search.php?search_type=title&value=", "Prefer Official Tab, fallback to highest rated."),
+    "SecondHandSongs": ("https://secondhandsongs.com/search?search_text=", "Requires exact title/artist match."),
+    "WhoSampled": ("https://www.whosampled.com/search/?q=", "Requires exact title/artist match."),
+}
+
+
+def mood_suggestions(df: DataFrame, row_id: str, tags: Column, source_url: Column, categories: dict[str, tuple[list[str], int]]) -> DataFrame:
+    """A row for each record: its tags of each category (suggested_<category>), where they are from, and how sure they are."""
+    some = F.size(F.coalesce(tags, F.array().cast("array<string>"))) > 0
+    columns = [F.array_join(tags_in(F.coalesce(tags, F.array().cast("array<string>")), words, most), ", ").alias(f"suggested_{c}") for c, (words, most) in categories.items()]
+    return df.select(row_id, *columns, text_of(source_url).alias("source_url"), F.when(some, "Medium").otherwise("Low").alias("confidence"), F.when(some, "Extracted from tags").otherwise("No tags found").alias("notes"))
+
+
+def performance_suggestions(df: DataFrame, row_id: str, bpm: Column, key: Column, defaults: dict[str, str] = PERFORMANCE) -> DataFrame:
+    """A row for each record: its tempo and key as they are, and defaults."""
+    return df.select(row_id, text_of(bpm).alias("bpm"), text_of(key).alias("musical_key"), *[F.lit(v).alias(k) for k, v in defaults.items()])
+
+
+def search_suggestions(df: DataFrame, row_id: str, title: Column, artist: Column, searches: dict[str, tuple[str, str]] = SEARCHES) -> DataFrame:
+    """A row for each record and site: an unverified search for its artist and title."""
+    columns = lambda site, start, notes: F.struct(
+        F.lit(site).alias("site"), F.lit("").alias("verified_url"), search_url(start, artist, title).alias("search_url"), F.lit("Search Query").alias("match_type"), F.lit("Low").alias("confidence"), F.lit(notes).alias("notes"),
+    )
+    return df.select(row_id, F.inline(F.array(*[columns(s, *v) for s, v in searches.items()])))
+
+
 def takeout_export(seen: DataFrame, key: str, metadata: DataFrame, title: str, artist: str) -> tuple[DataFrame, DataFrame]:
     """(sightings with their metadata and lookup status, distinct songs of those found)."""
     joined = seen.join(metadata.withColumnRenamed(key, "_id"), F.col(key) == F.col("_id"), "left")

@@ -40,9 +40,26 @@ def title_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CATALOG} SELECT id, title AS cand_title, artist AS cand_artist FROM catalog")
 def split_titles(spark: SparkSession, d: str) -> DataFrame:
-    """The reading of each dashed title whose left part is the artist."""
+    """The reading of each dashed title whose right part is the title."""
     dashed = catalog(spark, d).select("id", F.concat_ws(" - ", "artist", "title").alias("noisy"), F.lit("Various").alias("artist"))
-    return build.title_candidates(dashed, "noisy", "artist").where("note = 'split: - :left=artist'").select("id", "cand_title", "cand_artist")
+    return build.title_candidates(dashed, "noisy", "artist").where("note = 'split: - :left=title'").select("id", "cand_title", "cand_artist")
+
+
+READ = [
+    ("current_cleaned", "c", "'Various'"), ("raw_title_cleaned_artist", "t", "'Various'"), ("cleaned_title_raw_artist", "c", "'Various'"),
+    ("split: - :left=artist", "artist", "title || ' x'"), ("split: - :left=artist_artist_raw", "artist", "title || tail"), ("split: - :left=artist_title_raw", "artist", "title || ' x'"),
+    ("split: - :left=title", "title || ' x'", "artist"), ("split: - :left=title_artist_raw", "title || ' x'", "artist"), ("split: - :left=title_title_raw", "title || tail", "artist"),
+    ("title_noise_stripped", "c", "'Various'"),
+]
+
+
+@query(f"""WITH {CATALOG}, n AS (SELECT *, artist || ' - ' || title || ' x' AS c, CASE WHEN id % 3 = 1 THEN ' x (Official Video)' ELSE ' x' END AS tail FROM catalog), m AS (SELECT *, artist || ' - ' || title || tail AS t FROM n)
+  SELECT id, note, cand_title, cand_artist FROM ({" UNION ALL ".join(f"SELECT id, '{n}' AS note, {t} AS cand_title, {a} AS cand_artist FROM m{' WHERE id % 3 = 1' if n == 'title_noise_stripped' else ''}" for n, t, a in READ)})""")
+def title_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading of dashed titles, a third of them with a video's noise."""
+    c = F.col
+    noisy = catalog(spark, d).select("id", F.concat(F.concat_ws(" - ", "artist", "title"), F.when(c("id") % 3 == 1, " x (Official Video)").otherwise(" x")).alias("noisy"), F.lit("Various").alias("artist"))
+    return build.title_candidates(noisy, "noisy", "artist").select("id", "note", "cand_title", "cand_artist")
 
 
 @query(f"WITH {CATALOG} SELECT id, CASE WHEN id % 3 <> 1 THEN 'skip_not_suspicious' WHEN bpm <= 10 THEN 'skip_no_result' ELSE 'replace' END AS action FROM catalog")
@@ -93,6 +110,26 @@ def suggestion_rows(spark: SparkSession, d: str) -> DataFrame:
     return build.suggestions(table(spark, d, "part").withColumnRenamed("p_partkey", "id"), "id", v.listed(F.col("p_name"), " "), {"colour": (["red", "blue", "green"], 1), "thing": (["ring", "widget"], 2)})
 
 
+@query("SELECT p_partkey AS id, array_to_string(list_filter(string_split(p_name, ' '), lambda t: t IN ('red', 'blue', 'green'))[:1], ', ') AS suggested_colour, array_to_string(list_filter(string_split(p_name, ' '), lambda t: t IN ('ring', 'widget'))[:2], ', ') AS suggested_thing, 'https://tags.example/' || p_partkey AS source_url, 'Medium' AS confidence FROM part")
+def mood_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").withColumnRenamed("p_partkey", "id")
+    return build.mood_suggestions(rows, "id", v.listed(F.col("p_name"), " "), F.concat(F.lit("https://tags.example/"), "id"), {"colour": (["red", "blue", "green"], 1), "thing": (["ring", "widget"], 2)}).drop("notes")
+
+
+@query("SELECT p_partkey AS id, CAST(p_size AS VARCHAR) AS bpm, '' AS musical_key, 'Standard' AS tuning, 'None' AS capo, 'Intermediate' AS guitar_difficulty, 'Novice' AS bass_difficulty, 'Novice' AS drum_difficulty, '' AS vocal_range, 'Vocals, Guitar, Bass, Drums' AS instrumentation, 'Standard rock/pop arrangement' AS arrangement_notes, 'Generative Suggestion' AS source_url, 'Low' AS confidence, 'Auto-filled standard defaults; requires manual tuning verification.' AS notes FROM part")
+def performance_rows(spark: SparkSession, d: str) -> DataFrame:
+    return build.performance_suggestions(table(spark, d, "part").withColumnRenamed("p_partkey", "id"), "id", F.col("p_size"), F.lit(None))
+
+
+ASKED = "replace(url_encode(p_brand || ' ' || p_name), '%20', '+')"
+
+
+@query(f"SELECT p_partkey AS id, 'Ultimate Guitar' AS site, 'https://www.ultimate-guitar.com/search.php?search_type=title&value=' || {ASKED} AS search_url, 'Search Query' AS match_type FROM part UNION ALL SELECT p_partkey, 'SecondHandSongs', 'https://secondhandsongs.com/search?search_text=' || {ASKED}, 'Search Query' FROM part UNION ALL SELECT p_partkey, 'WhoSampled', 'https://www.whosampled.com/search/?q=' || {ASKED}, 'Search Query' FROM part")
+def search_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Three searches of each record."""
+    return build.search_suggestions(table(spark, d, "part").withColumnRenamed("p_partkey", "id"), "id", F.col("p_name"), F.col("p_brand")).select("id", "site", "search_url", "match_type")
+
+
 @query("SELECT user_id, count(*) AS n, CASE WHEN user_id % 3 = 0 THEN 'not_found' ELSE 'found' END AS lookup_status FROM events GROUP BY 1")
 def takeout_export(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events")

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import basic, build, change, ingest, keys, match  # noqa: F401  each registers its queries
+from . import basic, build, change, graphs, ingest, keys, match  # noqa: F401  each registers its queries
 from .base import ORACLES, QUERIES  # noqa: F401
