@@ -174,7 +174,7 @@ def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     events.repartition(4, "event_id").write.parquet(source)
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(source)
     ledger.ledger_stream(spark, stream, out, mark, ["user_id", "event_type"], "ts", ["value"], "event_id").awaitTermination()
-    return ledger.latest_ledger(spark, out)
+    return ledger.latest_ledger(spark, out, ["user_id", "event_type"])
 
 
 @query("SELECT user_id, count(*) AS n, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY 1")
