@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as x
 from ..functions import values as v
-from ..operators import dedupe, profile, rows
+from ..operators import dedupe, profile, rows, term_index
 from ..sources import tables
 from ..sources.session import new_path
 from ..streaming import ledger
@@ -88,6 +88,14 @@ def vibe_search(spark: SparkSession, d: str) -> DataFrame:
     return rows.vibe_search(catalog(spark, d), "Red  RING", ["title", "artist", "album"]).select("id", "title", "artist")
 
 
+@query(f"{BOTH} SELECT id, title, artist FROM catalog WHERE contains(lower(title), 'red') AND (contains(lower(title), 'ring') OR contains(lower(artist), 'ring') OR contains(lower(album), 'ring'))")
+def indexed_search(spark: SparkSession, d: str) -> DataFrame:
+    """The same by an index of the catalog."""
+    path, columns = new_path(spark, "index"), ["title", "artist", "album"]
+    term_index.build(catalog(spark, d), path, "id", columns)
+    return term_index.search(spark, path, "Red  RING", "id", columns).select("id", "title", "artist")
+
+
 @query("SELECT p_partkey, p_name, p_size FROM part WHERE regexp_matches(p_name, '(?i)^(red|small)') AND p_type IN ('ECONOMY', 'STANDARD') AND p_size BETWEEN 10 AND 20")
 def grid_filter(spark: SparkSession, d: str) -> DataFrame:
     return rows.grid_filter(table(spark, d, "part"), "^(red|small)", ["p_name"], {"p_type": ["ECONOMY", "STANDARD"]}, {"p_size": (10, 20)}).select("p_partkey", "p_name", "p_size")
