@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.fuzzy import match_score
 from ..functions.text import fuzzy_key, search_text, song_key
 from ..functions.values import agreement, weighted
+from ..sources.session import spread
 
 #: Points (in hundredths) of agreement by field, and the least score (in thousandths) of each verdict.
 TITLE_POINTS = {"exact": 55, "partial": 45}
@@ -24,6 +25,21 @@ def exploded(df: DataFrame, keys: Column, name: str = "match_key") -> DataFrame:
     return df.withColumn(name, F.explode(keys))
 
 
+#: Of one key's pairs and of its rows on the right, as many as one part of a spread join has.
+PAIRS_A_PART, ROWS_A_PART = 4_000_000, 100_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left and right joined by key. A key with very many pairs is cut into parts: its rows on the right are dealt to them, and those on the left go to each."""
+    count = lambda df, n: df.groupBy(key).agg(F.count("*").alias(n))
+    parts = F.greatest(F.ceil(F.col("_l") / PAIRS_A_PART * F.col("_r")), F.ceil(F.col("_r") / ROWS_A_PART))
+    cut = count(left, "_l").join(count(right, "_r"), key).select(key, parts.alias("_parts"))
+    to_all = left.join(cut, key).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
+    dealt = right.join(cut, key).withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.col("_parts"))).drop("_parts")
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, since parts are small in bytes and would be put together again
+    return to_all.repartition(n, key, "_part").join(dealt.repartition(n, key, "_part").hint("merge"), [key, "_part"]).drop("_part")
+
+
 def pending(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose keys are not done yet."""
     return df.join(done.select(*keys).distinct(), keys, "left_anti")
@@ -57,10 +73,14 @@ def alias_match(queries: DataFrame, query_id: str, query_keys: Column, index: Da
 
 
 def all_variant_hits(queries: DataFrame, query_id: str, query_keys: Column, index: DataFrame, index_id: str, index_keys: Column) -> DataFrame:
-    """Distinct (query id, index id) that share any key."""
-    left = exploded(queries.select(query_id, query_keys.alias("_keys")), F.col("_keys"), "_key")
-    right = exploded(index.select(index_id, index_keys.alias("_keys")), F.col("_keys"), "_key")
-    return left.join(right, "_key").select(query_id, index_id).distinct()
+    """Distinct (query id, index id) that share any key.
+
+    Sets of keys are matched, each once, and then give way to the ids that have them: no pair of ids is made twice or shuffled. An id's keys are put into one row."""
+    by_id = lambda df, i, keys, name: spread(df).select(i, keys.alias("_keys")).groupBy(i).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_keys")))).alias(name))
+    left, right = by_id(queries, query_id, query_keys, "_q"), by_id(index, index_id, index_keys, "_i")
+    one = lambda df, name: exploded(df.select(name).distinct(), F.col(name), "_key")
+    sets = one(left, "_q").join(one(right, "_i"), "_key").select("_q", "_i").distinct()
+    return spread_join(left.join(sets, "_q").select(query_id, "_i"), right, "_i").select(query_id, index_id)
 
 
 def unambiguous(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -135,7 +155,8 @@ def choose_hit(pairs: DataFrame, query_id: str, agree: dict[str, tuple[str, str,
 
 def cover_pairs(df: DataFrame, title: Column, artist: Column, row_id: str, wanted: Column | None = None) -> DataFrame:
     """Rows of one title by different artists, both directions. wanted: the rows whose covers are looked up (all)."""
-    base = df.select(F.col(row_id), song_key(title).alias("_t"), artist.alias("_a"))
-    other = base.toDF("cover_id", "_t2", "cover_artist")
+    base = spread(df).select(F.col(row_id), song_key(title).alias("_t"), artist.alias("_a"), F.lower(artist).alias("_la"))
+    other = base.toDF("cover_id", "_t", "cover_artist", "_lb")
     base = base.where(wanted) if wanted is not None else base
-    return base.join(other, (F.col("_t") == F.col("_t2")) & (F.lower("_a") != F.lower("cover_artist"))).select(F.col(row_id).alias("original_id"), F.col("_t").alias("title_key"), F.col("_a").alias("original_artist"), "cover_id", "cover_artist")
+    found = spread_join(base, other, "_t").where(F.col("_la") != F.col("_lb"))
+    return found.select(F.col(row_id).alias("original_id"), F.col("_t").alias("title_key"), F.col("_a").alias("original_artist"), "cover_id", "cover_artist")
