@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from curatrix.functions import values as v
 from curatrix.operators import matching
 
 
@@ -18,3 +19,13 @@ def test_covers_of_one_title_are_made_by_several_tasks(spark, monkeypatch):
     got = sorted((r["original_id"], r["cover_id"]) for r in found.collect())
     assert got == [(i, j) for i in range(0, 400, 10) for j in range(400) if i % 4 != j % 4]
     assert most_in_a_task(found) < len(got) * 0.6
+
+
+def test_hits_of_one_key_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(matching, "PAIRS_A_PART", 200, raising=False)
+    queries = spark.createDataFrame([(1, "rock and roll"), (1, "x"), (2, "rockroll"), (3, "none"), (4, None)], "q long, t string")
+    index = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, "Rock & Roll").otherwise("rock roll").alias("t"))
+    found = matching.all_variant_hits(queries, "q", v.spacing_variants(F.col("t")), index, "id", v.spacing_variants(F.col("t")))
+    got = sorted(map(tuple, found.collect()))
+    assert got == [(q, i) for q in (1, 2) for i in range(400)]
+    assert most_in_a_task(found) < len(got) * 0.6
