@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS, clean, display_text, first_nonblank, match_text, or_null, spaced_key, text_of
 from ..functions.values import infer_version, listed, semicolon_join, short_id
-from ..sources.session import new_path
+from ..sources.session import new_path, spread
 
 #: What a recording carries: its field -> the headers it is read from, the first that is filled.
 HEADERS = {
@@ -180,7 +180,15 @@ def label(title: Column, artist: Column, otherwise: Column) -> Column:
 
 
 def built(rows: DataFrame, line: str, own: str = "catalog", **options) -> Graph:
-    """The graph of rows, written once to the shared folder, a folder for each kind. Options as tagged_rows takes them."""
-    tagged, path = tagged_rows(rows, line, **options), new_path(rows.sparkSession, "graph")
-    tagged.write.partitionBy("kind").parquet(path)
-    return Graph(rows.sparkSession.read.schema(tagged.schema).parquet(path), own)
+    """The graph of rows, written once to the shared folder, a folder for each kind. Options as tagged_rows takes them.
+
+    A task keeps a file of each kind open instead of sorting its rows by kind."""
+    spark = rows.sparkSession
+    tagged, path = tagged_rows(spread(rows), line, **options), new_path(spark, "graph")
+    writers, former = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set(writers, "8")
+    try:
+        tagged.write.partitionBy("kind").parquet(path)
+    finally:
+        spark.conf.set(writers, former)
+    return Graph(spark.read.schema(tagged.schema).parquet(path), own)

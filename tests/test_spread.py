@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curatrix.functions import values as v
-from curatrix.operators import matching
+from curatrix.operators import graph, matching
 
 
 def most_in_a_task(df):
@@ -29,3 +29,11 @@ def test_hits_of_one_key_are_made_by_several_tasks(spark, monkeypatch):
     got = sorted(map(tuple, found.collect()))
     assert got == [(q, i) for q in (1, 2) for i in range(400)]
     assert most_in_a_task(found) < len(got) * 0.6
+
+
+def test_the_graph_of_one_partition_is_written_by_several_tasks(spark):
+    rows = spark.range(200).select(F.col("id").alias("n"), F.concat(F.lit("Song "), F.col("id")).alias("Title")).coalesce(1)
+    former = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    g = graph.built(rows, "n")
+    assert len(g.recordings().inputFiles()) > 1 and g.recordings().count() == 200 and g.links().count() == 600
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == former
