@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curatrix.functions import values as v
-from curatrix.operators import graph, matching
+from curatrix.operators import catalog, graph, matching
 
 
 def most_in_a_task(df):
@@ -37,3 +37,10 @@ def test_the_graph_of_one_partition_is_written_by_several_tasks(spark):
     g = graph.built(rows, "n")
     assert len(g.recordings().inputFiles()) > 1 and g.recordings().count() == 200 and g.links().count() == 600
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == former
+
+
+def test_readings_of_one_partition_are_made_by_several_tasks(spark):
+    rows = spark.range(200).select("id", F.concat(F.lit("A - B"), F.col("id")).alias("t"), F.lit("x").alias("a")).coalesce(1)
+    found = catalog.title_candidates(rows, "t", "a")
+    assert found.columns == ["id", "t", "a", "position", "cand_title", "cand_artist", "note"]
+    assert most_in_a_task(found) < found.count() * 0.6
