@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import match_score
+from ..functions.fuzzy import core_score, match_score
 from ..functions.text import fuzzy_key, search_text, song_key
 from ..functions.values import agreement, weighted
 from ..sources.session import spread
@@ -126,9 +126,10 @@ def integer_scores(pairs: DataFrame, query: dict[str, str], result: dict[str, st
     return pairs.withColumn("points", part("title") + part("artist") + album).withColumn("verified", F.col("points") >= 10)
 
 
-def fuzzy_best(pairs: DataFrame, query_id: str, query: tuple[str, str], result: tuple[str, str], order: list) -> DataFrame:
-    """Each query's best result with its match_score; equal scores by order."""
-    scored = pairs.withColumn("match_score", match_score(F.col(query[0]), F.col(query[1]), F.col(result[0]), F.col(result[1])))
+def fuzzy_best(pairs: DataFrame, query_id: str, query: tuple[str, str], result: tuple[str, str], order: list, *, prepared: bool = False) -> DataFrame:
+    """Each query's best result with its match_score; equal scores by order. prepared: the columns hold title cores and artist keys already, made once a row before rows were paired."""
+    score = core_score if prepared else match_score
+    scored = pairs.withColumn("match_score", score(F.col(query[0]), F.col(query[1]), F.col(result[0]), F.col(result[1])))
     return scored.withColumn("_n", F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("match_score"), *order))).where("_n = 1").drop("_n")
 
 
