@@ -276,8 +276,13 @@ def union_open(spark: SparkSession, d: str) -> DataFrame:
   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS number, CAST(year(l_shipdate) AS INTEGER) AS year_found, CAST(l_linenumber AS VARCHAR) || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') AS from_ms FROM lineitem""")
 def value_parsers(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
-    clock = F.format_string("%d:%02d", c("l_quantity").cast("int"), c("l_linenumber"))
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", v.duration_seconds(clock).alias("seconds"), v.compact_duration(F.concat(F.lit("0"), clock)).alias("compact"), v.numeric_string(c("l_quantity").cast("string")).alias("number"), v.year_in(F.date_format("l_shipdate", "dd.MM.yyyy")).alias("year_found"), v.duration_from_ms((c("l_linenumber") * 60 + c("l_partkey") % 60) * 1000).alias("from_ms"))
+    lines = table(spark, d, "lineitem").withColumn("clock", v.clock(c("l_quantity").cast("int"), c("l_linenumber")))
+
+    def parsed(df: DataFrame, key) -> DataFrame:
+        compact = F.when(c("clock").isNotNull(), v.compact_duration(F.concat(F.lit("0"), c("clock")), key))
+        return df.select("l_orderkey", "l_linenumber", "l_partkey", v.duration_seconds(c("clock")).alias("seconds"), compact.alias("compact"), v.numeric_string(c("l_quantity").cast("string")).alias("number"), v.year_in(F.date_format("l_shipdate", "dd.MM.yyyy")).alias("year_found"), v.duration_from_ms((c("l_linenumber") * 60 + c("l_partkey") % 60) * 1000).alias("from_ms"))
+
+    return rows.apart(lines, x.has_non_ascii(c("clock")), lambda df: parsed(df, x.song_key), lambda df: parsed(df, x.ascii_song_key))
 
 
 @query("SELECT doc_id, sha256(text) AS repaired_sha256 FROM documents")

@@ -137,3 +137,25 @@ def test_validation(spark):
     df = spark.createDataFrame([("R1", "S1", "5", "3"), ("R1", "", "15", "x")], "r string, s string, e string, d string")
     got = [r[0] for r in df.select(values.validation_errors({"Song ID": F.col("s")}, {"Energy": (F.col("e"), 1, 10), "Difficulty": (F.col("d"), 1, 5)})).collect()]
     assert got == [[], ["Missing required field: Song ID", "Energy must be between 1 and 10", "Difficulty must be an integer"]]
+
+
+def test_rows_of_ascii_reach_no_udf(spark):
+    from curatrix.operators import rows
+    from curatrix.plans import catalogue
+
+    texts = ["03:05", "The Song (Live) feat. X", "Café [Demo]", "Don't Stop & Go", "½ Ⅳ:05", "0７:05", "", None, "a\x1cb", "99999999999999999999:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    key = lambda k: lambda d: d.select("s", values.compact_duration(F.col("s"), k).alias("c"))
+    got = rows.apart(df, text.has_non_ascii(F.col("s")), key(text.song_key), key(text.ascii_song_key))
+    assert sorted(map(str, got.collect())) == sorted(map(str, key(text.song_key)(df).collect()))
+    assert over(spark, texts[:4], values.compact_duration(F.col("s"))) == ["3:05", "song", "cafe", "dont stop and go"]
+    plan = catalogue.QUERIES["value_parsers"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    udfs = [k for k, line in enumerate(plan) if "ArrowEvalPython" in line]
+    assert len(udfs) == 1 and any("Filter" in line and "RLIKE" in line for line in plan[udfs[0] : udfs[0] + 3])
+    assert not any("pythonUDF" in line for line in plan[udfs[0] + 3 :])
+
+
+def test_clock_as_format_string_writes_it(spark):
+    df = spark.createDataFrame([(m, s) for m in (-12, 0, 7, 130) for s in (-7, 0, 5, 9, 10, 59, 100)] + [(None, 1), (1, None)], "m long, s long")
+    plain = F.when(F.col("m").isNotNull() & F.col("s").isNotNull(), F.format_string("%d:%02d", "m", "s"))
+    assert all(a == b for a, b in df.select(values.clock(F.col("m"), F.col("s")), plain).collect())
