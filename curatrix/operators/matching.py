@@ -5,13 +5,15 @@ No operator here compares all pairs: candidates always come from an equi-join on
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import core_score, match_score
 from ..functions.text import fuzzy_key, search_text, song_key
 from ..functions.values import agreement, weighted
-from ..sources.session import spread
+from ..sources.session import spread, written
 
 #: Points (in hundredths) of agreement by field, and the least score (in thousandths) of each verdict.
 TITLE_POINTS = {"exact": 55, "partial": 45}
@@ -25,19 +27,32 @@ def exploded(df: DataFrame, keys: Column, name: str = "match_key") -> DataFrame:
     return df.withColumn(name, F.explode(keys))
 
 
-#: Of one key's pairs and of its rows on the right, as many as one part of a spread join has.
-PAIRS_A_PART, ROWS_A_PART = 4_000_000, 100_000
+#: Pairs that one part of a spread join makes at most, about (a task: twice as many on average), and copies of rows that one task deals to parts.
+PAIRS_A_PART, COPIES_A_TASK = 4_000_000, 1_000_000
 
 
 def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """left and right joined by key. A key with very many pairs is cut into parts: its rows on the right are dealt to them, and those on the left go to each."""
-    count = lambda df, n: df.groupBy(key).agg(F.count("*").alias(n))
-    parts = F.greatest(F.ceil(F.col("_l") / PAIRS_A_PART * F.col("_r")), F.ceil(F.col("_r") / ROWS_A_PART))
-    cut = count(left, "_l").join(count(right, "_r"), key).select(key, parts.alias("_parts"))
-    to_all = left.join(cut, key).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
-    dealt = right.join(cut, key).withColumn("_part", F.pmod(F.xxhash64(*right.columns), F.col("_parts"))).drop("_parts")
-    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, since parts are small in bytes and would be put together again
-    return to_all.repartition(n, key, "_part").join(dealt.repartition(n, key, "_part").hint("merge"), [key, "_part"]).drop("_part")
+    """left and right joined by key. Each is read twice, so callers write what is costly to make.
+
+    A key's pairs are cut into a grid: its rows on either side are dealt to slices, and each slice goes to all of the other side. Tasks grow in number as pairs do, so the longest does not;
+    a row is copied once for some sqrt(PAIRS_A_PART) of its pairs."""
+    side, n = math.isqrt(PAIRS_A_PART), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
+    slices = {"_xs": F.ceil(F.col("_l") / side), "_ys": F.ceil(F.col("_r") / side)}
+    cut = written(count(left, "_l").join(count(right, "_r"), key).withColumns(slices))
+    total = lambda a, b: F.coalesce(F.sum(F.col(a).cast("double") * b), F.lit(0.0))
+    n_pairs, more_left, more_right = cut.agg(total("_l", F.col("_r")), total("_l", F.col("_ys") - 1), total("_r", F.col("_xs") - 1)).first()
+    large = F.broadcast(cut.where("_xs > 1 OR _ys > 1").select(key, "_xs", "_ys"))  # one key for each `side` rows at most
+
+    def dealt(df: DataFrame, more: float, own: str, owns: str, other: str, others: str) -> DataFrame:
+        if more > COPIES_A_TASK:
+            df = df.repartition(max(n, math.ceil(more / COPIES_A_TASK)))
+        many = lambda c: F.coalesce(c, F.lit(1).cast("bigint"))
+        placed = df.join(large, key, "left").withColumns({own: F.pmod(F.xxhash64(*df.columns), many(owns)), other: F.explode(F.sequence(F.lit(0).cast("bigint"), many(others) - 1))})
+        return placed.drop("_xs", "_ys").repartition(n_tasks, key, "_x", "_y")
+
+    n_tasks = max(n, math.ceil(n_pairs / (2 * PAIRS_A_PART)))  # stated, since parts are small in bytes and would be put together again
+    return dealt(left, more_left, "_x", "_xs", "_y", "_ys").join(dealt(right, more_right, "_y", "_ys", "_x", "_xs").hint("merge"), [key, "_x", "_y"]).drop("_x", "_y")
 
 
 def pending(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,10 +92,10 @@ def all_variant_hits(queries: DataFrame, query_id: str, query_keys: Column, inde
 
     Sets of keys are matched, each once, and then give way to the ids that have them: no pair of ids is made twice or shuffled. An id's keys are put into one row."""
     by_id = lambda df, i, keys, name: spread(df).select(i, keys.alias("_keys")).groupBy(i).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_keys")))).alias(name))
-    left, right = by_id(queries, query_id, query_keys, "_q"), by_id(index, index_id, index_keys, "_i")
+    left, right = written(by_id(queries, query_id, query_keys, "_q")), written(by_id(index, index_id, index_keys, "_i"))
     one = lambda df, name: exploded(df.select(name).distinct(), F.col(name), "_key")
     sets = one(left, "_q").join(one(right, "_i"), "_key").select("_q", "_i").distinct()
-    return spread_join(left.join(sets, "_q").select(query_id, "_i"), right, "_i").select(query_id, index_id)
+    return spread_join(written(left.join(sets, "_q").select(query_id, "_i")), right, "_i").select(query_id, index_id)
 
 
 def unambiguous(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,7 +171,7 @@ def choose_hit(pairs: DataFrame, query_id: str, agree: dict[str, tuple[str, str,
 
 def cover_pairs(df: DataFrame, title: Column, artist: Column, row_id: str, wanted: Column | None = None) -> DataFrame:
     """Rows of one title by different artists, both directions. wanted: the rows whose covers are looked up (all)."""
-    base = spread(df).select(F.col(row_id), song_key(title).alias("_t"), artist.alias("_a"), F.lower(artist).alias("_la"))
+    base = written(spread(df).select(F.col(row_id), song_key(title).alias("_t"), artist.alias("_a"), F.lower(artist).alias("_la")))
     other = base.toDF("cover_id", "_t", "cover_artist", "_lb")
     base = base.where(wanted) if wanted is not None else base
     found = spread_join(base, other, "_t").where(F.col("_la") != F.col("_lb"))

@@ -31,6 +31,19 @@ def test_hits_of_one_key_are_made_by_several_tasks(spark, monkeypatch):
     assert most_in_a_task(found) < len(got) * 0.6
 
 
+def test_a_task_makes_no_more_pairs_of_one_key_on_larger_tables(spark, monkeypatch):
+    monkeypatch.setattr(matching, "PAIRS_A_PART", 200, raising=False)
+    monkeypatch.setattr(matching, "COPIES_A_TASK", 400, raising=False)
+    for n in (200, 400):
+        df = spark.range(n).select("id", F.lit("One Title").alias("t"), F.concat(F.lit("A"), F.col("id") % 4).alias("a"))
+        keys = v.spacing_variants(F.col("t"))
+        hits = matching.all_variant_hits(df.select(F.col("id").alias("q"), "t").where("q % 5 = 0"), "q", keys, df, "id", keys)
+        assert sorted(map(tuple, hits.collect())) == [(i, j) for i in range(0, n, 5) for j in range(n)]
+        covers = matching.cover_pairs(df, F.col("t"), F.col("a"), "id")
+        assert sorted((r["original_id"], r["cover_id"]) for r in covers.collect()) == [(i, j) for i in range(n) for j in range(n) if i % 4 != j % 4]
+        assert max(most_in_a_task(hits), most_in_a_task(covers)) < 12 * 200
+
+
 def test_the_graph_of_one_partition_is_written_by_several_tasks(spark):
     rows = spark.range(200).select(F.col("id").alias("n"), F.concat(F.lit("Song "), F.col("id")).alias("Title")).coalesce(1)
     former = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
