@@ -56,3 +56,9 @@ def test_the_query_gives_every_reading_of_each_title(spark, tmp_path):
         assert got == readings(title, artist), (title, artist)
     notes = {c[2] for *_, got in found for _, c in got}
     assert len(notes) == 3 + 4 * 6 + 1
+
+
+def test_letters_and_numbers_beyond_ascii(spark, tmp_path):
+    names = ["Şarkı (OFFİCİAL VİDEO)", "Song [vıdeo]", "Song (4K)", "Song | Lyrıc", "Song - audio² x", "Song - vidéo", "Song - audió x", "Song - videoé", "Song ft² x", "Song feat.² x", "Song feat́ x", "Song FEATURİNG x"]
+    for title, artist, got in queried(spark, tmp_path, names, ["Band", "Band volume ٣", "Band OFFİCİAL", "Band (Remıx)"]):
+        assert got == readings(title, artist), (title, artist)
